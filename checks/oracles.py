@@ -180,8 +180,8 @@ by_file = chain(ruled_rows, "ruled", "source_file, SampleId")
 ORACLES["charge_balance"] = by_sample.end(balance_rows("totals"))
 ORACLES["charge_balance_by_file"] = by_file.end(balance_rows("totals", "source_file, SampleId"))
 ORACLES["charge_balance_unrounded"] = by_sample.end(
-    f"SELECT SampleId, {rounded('balance')} AS balance, {rounded('cation_total')} AS cation_total, "
-    f"{rounded('anion_total')} AS anion_total FROM totals"
+    f"SELECT SampleId, {rounded('balance', 3)} AS balance, {rounded('cation_total', 3)} AS cation_total, "
+    f"{rounded('anion_total', 3)} AS anion_total FROM totals"
 )
 ORACLES["ion_values"] = by_sample.end(f"SELECT SampleId, ion, {rounded('value')} AS value FROM ions")
 WIDE = ", ".join(f"{rounded(i.replace('+', '_'))} AS {i.replace('+', '_')}" for i in IONS)

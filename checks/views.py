@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 #: The moment that counts as now in all checks.
-AS_OF = "2024-01-01 00:00:00"
+AS_OF = "2025-01-01 00:00:00"
 #: Day of the last stored WQP and SDWIS result in the update checks.
 STORED_UNTIL = "1996-06-01"
 

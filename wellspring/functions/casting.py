@@ -1,9 +1,9 @@
 """Text -> typed value, with NULL for whatever does not parse.
 
-Each function takes trimmed text. ANSI mode is on by default, so every
-conversion is a ``try_cast``. Dates are first rewritten to ISO text and then
-cast: the cast reports bad input without raising, where a pattern-based parser
-throws once per bad cell.
+Each function takes trimmed text, best a plain column: it is used several times.
+ANSI mode is on by default, so every conversion is a ``try_cast``. Dates are
+first rewritten to ISO text and then cast: the cast reports bad input without
+raising, where a pattern-based parser throws once per bad cell.
 """
 
 from __future__ import annotations
@@ -11,21 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_NOT_FINITE = r"^(?i)[+-]?(nan|inf|infinity)$"
-_CLOCK = r"(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)(?: ?([AaPp][Mm]))?)?$"
+_NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
+_TIME = r"^(?:[01]?\d|2[0-3])(?::[0-5]?\d){0,2}$"
+
+# Date layouts. Group 4 is the clock, if any; am / pm is read over, since only
+# the day is stored.
+_CLOCK = r"(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)(?: ?[AaPp][Mm])?)?$"
 _SEP = r"[/.\-]"
-_YEAR_FIRST = rf"^(\d{{4}}){_SEP}(\d{{1,2}}){_SEP}(\d{{1,2}})" + _CLOCK
-_YEAR_LAST = rf"^(\d{{1,2}}){_SEP}(\d{{1,2}}){_SEP}(\d{{4}}|\d{{2}})" + _CLOCK
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_COMPACT_CLOCK = r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})$"
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?$"
+_YEAR_FIRST = rf"^(\d{{4}}){_SEP}(\d{{1,2}}){_SEP}(\d{{1,2}}){_CLOCK}"
+_MONTH_FIRST = rf"^(0?\d|1[0-2]){_SEP}(\d{{1,2}}){_SEP}(\d{{4}}){_CLOCK}"
+_DAY_FIRST = rf"^(1[3-9]|2\d|3[01]){_SEP}(\d{{1,2}}){_SEP}(\d{{4}}){_CLOCK}"
+_SHORT_YEAR = rf"^(0?\d|1[0-2]){_SEP}(\d{{1,2}}){_SEP}(\d{{2}}){_CLOCK}"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2}))?$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_MONTH_NAME = (
-    r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|"
+_MONTH = (
+    r"(?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|"
     r"aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
-_MONTH_FIRST = rf"^(?i)({_MONTH_NAME})\.?[ \-]+(\d{{1,2}}),?[ \-]+(\d{{4}})" + _CLOCK
-_DAY_FIRST = rf"^(?i)(\d{{1,2}})[ \-]+({_MONTH_NAME})\.?,?[ \-]+(\d{{4}})" + _CLOCK
+_NAME_FIRST = rf"^({_MONTH})\.?[ \-]+(\d{{1,2}}),?[ \-]+(\d{{4}}){_CLOCK}"
+_NAME_SECOND = rf"^(\d{{1,2}})[ \-]+({_MONTH})\.?,?[ \-]+(\d{{4}}){_CLOCK}"
 
 
 def to_integer(text: Column, type_name: str) -> Column:
@@ -38,83 +43,45 @@ def to_double(text: Column) -> Column:
 
     The pattern keeps out forms only the JVM reads as numbers, such as ``1d``.
     """
-    return F.when(text.rlike(_NUMBER) | text.rlike(_NOT_FINITE), text.try_cast("double"))
-
-
-def _clock(text: Column, pattern: str, group: int) -> Column:
-    clock = F.regexp_extract(text, pattern, group)
-    return F.when(clock == "", F.lit("00:00")).otherwise(clock)
-
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
-def _moment(year: Column, month: Column, day: Column, clock: Column) -> Column:
-    return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock).try_cast("timestamp_ntz")
 
-
-def _half_day(moment: Column, text: Column, pattern: str) -> Column:
-    """Move a 12-hour clock reading to the 24-hour clock."""
-    half = F.upper(F.regexp_extract(text, pattern, 5))
-    hour = F.hour(moment)
-    return (
-        F.when((half == "PM") & (hour < 12), moment + F.expr("INTERVAL 12 HOURS"))
-        .when((half == "AM") & (hour == 12), moment - F.expr("INTERVAL 12 HOURS"))
-        .otherwise(moment)
+def _named(text: Column, pattern: str, month_group: int, day_group: int) -> Column:
+    name = F.lower(F.left(F.regexp_extract(text, pattern, month_group), F.lit(3)))
+    number = F.floor((F.position(name, F.lit(_MONTHS)) + 2) / 3).cast("string")
+    return F.concat(
+        F.regexp_extract(text, pattern, 3), F.lit("-"), number, F.regexp_replace(text, pattern, f"-${day_group} $4")
     )
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group)
-
-
-def _month_number(name: Column) -> Column:
-    place = F.position(F.lower(F.left(name, F.lit(3))), F.lit(_MONTHS))
-    return F.floor((place + 2) / 3)
-
-
 def to_timestamp(text: Column, as_of: Column) -> Column:
     """Dates in the layouts the extracts use.
 
     Year first (``2011-01-02``, ``2011/1/2 5:30``), month first with four or two
     digits of year (``1/2/2011``, ``01/02/11``; day first only when the month
     cannot be one), compact (``20110102``), and month names (``Jan 2, 2011``,
-    ``2-Jan-2011``). A two-digit year lands within 50 years of ``as_of``.
+    ``2-Jan-2011``). A two-digit year lands less than 50 years after ``as_of``.
     Incomplete dates are NULL.
     """
-    year_first = _half_day(
-        _moment(*(_part(text, _YEAR_FIRST, g) for g in (1, 2, 3)), _clock(text, _YEAR_FIRST, 4)), text, _YEAR_FIRST
-    )
+    def layout(pattern: str, replacement: str) -> Column:
+        return F.regexp_replace(text, pattern, replacement)
 
-    a, b, y = (_part(text, _YEAR_LAST, g) for g in (1, 2, 3))
-    short = F.length(y) == 2
-    clock = _clock(text, _YEAR_LAST, 4)
-    full = F.when(short, F.concat(F.lit("20"), y)).otherwise(y)
-    year_last = F.coalesce(_moment(full, a, b, clock), _moment(full, b, a, clock))
-    year_last = F.when(
-        short & (F.year(year_last) >= F.year(as_of) + 50), F.add_months(year_last, -1200).cast("timestamp_ntz")
-    ).otherwise(_half_day(year_last, text, _YEAR_LAST))
-
-    def named(pattern: str, month_group: int, day_group: int) -> Column:
-        return _half_day(
-            _moment(
-                _part(text, pattern, 3),
-                _month_number(_part(text, pattern, month_group)).cast("string"),
-                _part(text, pattern, day_group),
-                _clock(text, pattern, 4),
-            ),
-            text,
-            pattern,
-        )
-
-    return (
-        F.when(text.rlike(_YEAR_FIRST), year_first)
-        .when(text.rlike(_YEAR_LAST), year_last)
-        .when(text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3").try_cast("timestamp_ntz"))
+    last_century = F.regexp_extract(text, _SHORT_YEAR, 3).cast("int") + 2000 >= F.year(as_of) + 50
+    iso = (
+        F.when(text.rlike(_ISO), text)
+        .when(text.rlike(_MONTH_FIRST), layout(_MONTH_FIRST, "$3-$1-$2 $4"))
         .when(
-            text.rlike(_COMPACT_CLOCK),
-            F.regexp_replace(text, _COMPACT_CLOCK, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"),
+            text.rlike(_SHORT_YEAR),
+            F.concat(F.when(last_century, "19").otherwise("20"), layout(_SHORT_YEAR, "$3-$1-$2 $4")),
         )
-        .when(text.rlike(_MONTH_FIRST), named(_MONTH_FIRST, 1, 2))
-        .when(text.rlike(_DAY_FIRST), named(_DAY_FIRST, 2, 1))
+        .when(text.rlike(r"^\d{8}$"), layout(_COMPACT, "$1-$2-$3"))
+        .when(text.rlike(_COMPACT), layout(_COMPACT, "$1-$2-$3 $4:$5:$6"))
+        .when(text.rlike(_YEAR_FIRST), layout(_YEAR_FIRST, "$1-$2-$3 $4"))
+        .when(text.rlike(_DAY_FIRST), layout(_DAY_FIRST, "$3-$2-$1 $4"))
+        .when(text.rlike(_NAME_FIRST), _named(text, _NAME_FIRST, 1, 2))
+        .when(text.rlike(_NAME_SECOND), _named(text, _NAME_SECOND, 2, 1))
     )
+    return iso.try_cast("timestamp_ntz")
 
 
 def plausible_date(moment: Column, as_of: Column) -> Column:
@@ -124,9 +91,6 @@ def plausible_date(moment: Column, as_of: Column) -> Column:
 
 def to_time(text: Column) -> Column:
     """``H[:M[:S]]`` -> ``HH:mm:ss``."""
-    def part(i: int) -> Column:
-        value = F.split_part(text, F.lit(":"), F.lit(i))
-        return F.lpad(F.when(value == "", "0").otherwise(value), 2, "0")
-
-    in_range = text.rlike(r"^([01]?\d|2[0-3])(:[0-5]?\d){0,2}$")
-    return F.when(in_range, F.concat_ws(":", part(1), part(2), part(3)))
+    padded = F.concat(text, F.lit(":0:0"))
+    parts = [F.lpad(F.split_part(padded, F.lit(":"), F.lit(i)), 2, "0") for i in (1, 2, 3)]
+    return F.when(text.rlike(_TIME), F.concat_ws(":", *parts))

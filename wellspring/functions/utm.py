@@ -43,6 +43,7 @@ def with_utm(df: DataFrame, lon: Column, lat: Column, x: str = "utm_x", y: str =
     A positive longitude is taken for a missing sign. The work is split over
     several projections so that shared terms are computed once per row.
     """
+    kept = [c for c in df.columns if c not in (x, y)]
     west = F.when(lon > 0, -lon).otherwise(lon)
     df = df.withColumns(
         {
@@ -62,9 +63,10 @@ def with_utm(df: DataFrame, lon: Column, lat: Column, x: str = "utm_x", y: str =
         xi, eta = F.col("_xi") * (2 * j), F.col("_eta") * (2 * j)
         northing = northing + F.sin(xi) * F.cosh(eta) * a
         easting = easting + F.cos(xi) * F.sinh(eta) * a
-    return df.withColumns(
-        {
-            x: easting * (SCALE * _RADIUS) + FALSE_EASTING,
-            y: northing * (SCALE * _RADIUS),
-        }
-    ).drop("_dlon", "_sin", "_t", "_xi", "_eta")
+    point = F.struct(
+        (easting * (SCALE * _RADIUS) + FALSE_EASTING).alias(x),
+        (northing * (SCALE * _RADIUS)).alias(y),
+    )
+    # A generator's output cannot be substituted into the filters and projections
+    # above it. As plain columns the series would be repeated per mention.
+    return df.select(*kept, F.inline(F.array(point)))

@@ -40,27 +40,23 @@ def reorder_to_schema(df: DataFrame, fields) -> DataFrame:
     )
 
 
-def cast_expression(value: Column, source: T.DataType, field: S.Field, as_of: Column) -> Column:
-    """Cast rule of one field, chosen by its declared kind and the input's type."""
+def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
+    """Cast rule of one field, chosen by its declared kind and the input's type.
+
+    Text arrives trimmed. Dates are judged afterwards, see :func:`cast_to_schema`.
+    """
     is_text = isinstance(source, T.StringType)
-    text = blank_to_null(trimmed(value)) if is_text else value
     kind = field.kind
     if kind == "string":
-        out = text if is_text else blank_to_null(trimmed(value.cast("string")))
+        out = blank_to_null(text if is_text else trimmed(text.cast("string")))
         return F.substring(out, 1, field.length) if field.length else out
     if kind in ("short", "long"):
         type_name = "int" if kind == "short" else "bigint"
-        return casting.to_integer(text, type_name) if is_text else value.try_cast(type_name)
+        return casting.to_integer(text, type_name) if is_text else text.try_cast(type_name)
     if kind == "double":
-        return casting.to_double(text) if is_text else value.try_cast("double")
-    if kind == "date":
-        if is_text:
-            moment = casting.to_timestamp(text, as_of)
-        elif isinstance(source, _MOMENTS):
-            moment = value.cast("timestamp_ntz")
-        else:
-            return F.lit(None).cast("timestamp_ntz")
-        return casting.plausible_date(moment, as_of)
+        return casting.to_double(text) if is_text else text.try_cast("double")
+    if kind == "date" and isinstance(source, _MOMENTS):
+        return text.cast("timestamp_ntz")
     if kind == "time" and is_text:
         return casting.to_time(text)
     return F.lit(None).cast(S.working_type(field))
@@ -70,18 +66,29 @@ def cast_to_schema(df: DataFrame, fields, as_of: Column | None = None) -> DataFr
     """Cast every declared field; add missing ones as NULL; keep other columns.
 
     ``as_of`` is the moment after which a date counts as being in the future.
+    The work is spread over three projections (trim, convert, judge dates) so
+    that no expression repeats the one before it.
     """
     as_of = F.localtimestamp() if as_of is None else as_of
     types = {f.name: f.dataType for f in df.schema.fields}
-    declared = {f.name for f in fields}
-    others = [F.col(f"`{name}`") for name in df.columns if name not in declared]
-    cast = [
-        cast_expression(F.col(f.name), types[f.name], f, as_of).alias(f.name)
-        if f.name in types
-        else F.lit(None).cast(S.working_type(f)).alias(f.name)
-        for f in fields
-    ]
-    return df.select(*cast, *others)
+    present = [f for f in fields if f.name in types]
+    text = {f.name: trimmed(F.col(f.name)) for f in present if isinstance(types[f.name], T.StringType)}
+    df = df.withColumns(text)
+
+    converted = {
+        f.name: casting.to_timestamp(F.col(f.name), as_of)
+        if f.kind == "date" and f.name in text
+        else cast_expression(F.col(f.name), types[f.name], f)
+        for f in present
+    }
+    df = df.withColumns(converted)
+    dates = {f.name: casting.plausible_date(F.col(f.name), as_of) for f in present if f.kind == "date"}
+    df = df.withColumns(dates)
+
+    declared = set(names := S.names(fields))
+    missing = {f.name: F.lit(None).cast(S.working_type(f)) for f in fields if f.name not in types}
+    others = [name for name in df.columns if name not in declared]
+    return df.withColumns(missing).select(*names, *(F.col(f"`{name}`") for name in others))
 
 
 def to_storage(df: DataFrame, fields) -> DataFrame:

@@ -25,6 +25,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     settings = {
         **SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": memory,
         **extra,
