@@ -111,9 +111,9 @@ FROM {{lineitem}} WHERE l_quantity = 50 AND l_shipdate < DATE '{STORED_UNTIL}'
 
 # Stations already stored, by their stripped id: those with a positive balance.
 STORED_STATIONS = """
-SELECT 'ORG-' || CAST(c_custkey AS STRING) AS StationId FROM {customer} WHERE c_acctbal > 0
+SELECT 'ORG-' || CAST(c_custkey AS STRING) AS StationId FROM {customer} WHERE c_acctbal > 5000
 UNION ALL
-SELECT 'ORG-' || CAST(s_suppkey AS STRING) AS StationId FROM {supplier} WHERE s_acctbal > 2000
+SELECT 'ORG-' || CAST(s_suppkey AS STRING) AS StationId FROM {supplier} WHERE s_acctbal > 8000
 """
 
 COUNTIES = """

@@ -33,17 +33,28 @@ _NAME_FIRST = rf"^({_MONTH})\.?[ \-]+(\d{{1,2}}),?[ \-]+(\d{{4}}){_CLOCK}"
 _NAME_SECOND = rf"^(\d{{1,2}})[ \-]+({_MONTH})\.?,?[ \-]+(\d{{4}}){_CLOCK}"
 
 
+def _byte(text: Column, position: int) -> Column:
+    return F.substring(text.cast("binary"), position, 1)
+
+
+def _bytes(text: str) -> Column:
+    return F.lit(bytearray(text.encode()))
+
+
 def to_integer(text: Column, type_name: str) -> Column:
     """Whole numbers only: ``3.5`` and ``1_000`` are NULL."""
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast(type_name))
+    return text.try_cast(type_name)
 
 
 def to_double(text: Column) -> Column:
     """Decimal and exponent forms plus nan / inf.
 
-    The pattern keeps out forms only the JVM reads as numbers, such as ``1d``.
+    A value ending in a digit or point is a plain number unless it is
+    hexadecimal; for the rest a pattern keeps out forms only the JVM reads as
+    numbers, such as ``1d``.
     """
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    plain = _byte(text, -1).between(_bytes("."), _bytes("9")) & ~F.contains(F.lower(text), F.lit("x"))
+    return F.when(plain | text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def _named(text: Column, pattern: str, month_group: int, day_group: int) -> Column:
@@ -67,8 +78,10 @@ def to_timestamp(text: Column, as_of: Column) -> Column:
         return F.regexp_replace(text, pattern, replacement)
 
     last_century = F.regexp_extract(text, _SHORT_YEAR, 3).cast("int") + 2000 >= F.year(as_of) + 50
+    # Most cells are plain ISO days; their length and one byte tell them apart.
+    iso_day = F.octet_length(text).between(8, 10) & (_byte(text, 5) == _bytes("-"))
     iso = (
-        F.when(text.rlike(_ISO), text)
+        F.when(iso_day | text.rlike(_ISO), text)
         .when(text.rlike(_MONTH_FIRST), layout(_MONTH_FIRST, "$3-$1-$2 $4"))
         .when(
             text.rlike(_SHORT_YEAR),
@@ -93,4 +106,6 @@ def to_time(text: Column) -> Column:
     """``H[:M[:S]]`` -> ``HH:mm:ss``."""
     padded = F.concat(text, F.lit(":0:0"))
     parts = [F.lpad(F.split_part(padded, F.lit(":"), F.lit(i)), 2, "0") for i in (1, 2, 3)]
-    return F.when(text.rlike(_TIME), F.concat_ws(":", *parts))
+    full = (F.octet_length(text) == 8) & (_byte(text, 3) == _bytes(":")) & (_byte(text, 6) == _bytes(":"))
+    valid = F.concat(F.lit("1970-01-01 "), text).try_cast("timestamp_ntz").isNotNull()
+    return F.when(full & valid, text).when(text.rlike(_TIME), F.concat_ws(":", *parts))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casting
-from ..functions.text import blank_to_null, trimmed
+from ..functions.text import blank_to_null, computed_once, cut, trimmed
 from ..model import schema as S
 
 _MOMENTS = (T.TimestampNTZType, T.TimestampType, T.DateType)
@@ -49,7 +49,7 @@ def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
     kind = field.kind
     if kind == "string":
         out = blank_to_null(text if is_text else trimmed(text.cast("string")))
-        return F.substring(out, 1, field.length) if field.length else out
+        return cut(out, field.length) if field.length else out
     if kind in ("short", "long"):
         type_name = "int" if kind == "short" else "bigint"
         return casting.to_integer(text, type_name) if is_text else text.try_cast(type_name)
@@ -76,7 +76,7 @@ def cast_to_schema(df: DataFrame, fields, as_of: Column | None = None) -> DataFr
     df = df.withColumns(text)
 
     converted = {
-        f.name: casting.to_timestamp(F.col(f.name), as_of)
+        f.name: computed_once(F.col(f.name), lambda t: casting.to_timestamp(t, as_of))
         if f.kind == "date" and f.name in text
         else cast_expression(F.col(f.name), types[f.name], f)
         for f in present

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM leaves methods beyond 8000 bytes interpreted. Above that size Spark
+    # shall generate separate, short methods instead of one fused loop.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
