@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,14 +64,23 @@ def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
     return F.lit(None).cast(S.working_type(field))
 
 
-def cast_to_schema(df: DataFrame, fields, as_of: Column | None = None) -> DataFrame:
+def moment(as_of: Column | datetime.datetime | None) -> Column:
+    """``as_of`` as a column; nothing given means now."""
+    if as_of is None:
+        return F.localtimestamp()
+    if isinstance(as_of, datetime.datetime):
+        return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    return as_of
+
+
+def cast_to_schema(df: DataFrame, fields, as_of: Column | datetime.datetime | None = None) -> DataFrame:
     """Cast every declared field; add missing ones as NULL; keep other columns.
 
     ``as_of`` is the moment after which a date counts as being in the future.
     The work is spread over three projections (trim, convert, judge dates) so
     that no expression repeats the one before it.
     """
-    as_of = F.localtimestamp() if as_of is None else as_of
+    as_of = moment(as_of)
     types = {f.name: f.dataType for f in df.schema.fields}
     present = [f for f in fields if f.name in types]
     text = {f.name: trimmed(F.col(f.name)) for f in present if isinstance(types[f.name], T.StringType)}

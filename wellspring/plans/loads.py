@@ -25,7 +25,7 @@ class Load(NamedTuple):
     results: DataFrame
 
 
-def wqp_seed(stations: DataFrame, results: DataFrame, as_of: Column | None = None, tables: Tables = Tables()) -> Load:
+def wqp_seed(stations: DataFrame, results: DataFrame, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables()) -> Load:
     """Extracts of one or many files: twins and balances are judged per file."""
     return Load(
         transform_stations(dedupe.drop_twins(stations, (FILE,)), wqp.TAG, as_of, tables),
@@ -39,7 +39,7 @@ def wqp_update(
     stored_stations: DataFrame,
     stored_results: DataFrame,
     today: datetime.date | None = None,
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
     in_box: bool = True,
 ) -> Load:
@@ -59,7 +59,7 @@ def wqp_update(
     )
 
 
-def sdwis_seed(source: Mapping[str, DataFrame], as_of: Column | None = None, tables: Tables = Tables()) -> Load:
+def sdwis_seed(source: Mapping[str, DataFrame], as_of: Column | datetime.datetime | None = None, tables: Tables = Tables()) -> Load:
     """Everything the database holds; results without a sample id are left out."""
     results = sdwis.results(source).where(F.col("SampleId").isNotNull())
     return Load(
@@ -72,7 +72,7 @@ def sdwis_update(
     source: Mapping[str, DataFrame],
     stored_stations: DataFrame,
     stored_results: DataFrame,
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
     balance: bool = False,
 ) -> Load:
@@ -97,7 +97,7 @@ def exported_seed(
     stations: DataFrame,
     results: DataFrame,
     program: exported.Program,
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
 ) -> Load:
     """Exported tables: stations need a valid point, results a sample id."""

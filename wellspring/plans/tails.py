@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ class Tables:
 
 
 def transform_stations(
-    df: DataFrame, tag: str, as_of: Column | None = None, tables: Tables = Tables(), need_shape: bool = False
+    df: DataFrame, tag: str, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables(), need_shape: bool = False
 ) -> DataFrame:
     """Cast, tag, shape, normalise and reorder station rows. No shuffle.
 
@@ -38,7 +39,7 @@ def transform_stations(
 
 
 def detail_results(
-    df: DataFrame, tag: str, as_of: Column | None = None, tables: Tables = Tables()
+    df: DataFrame, tag: str, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables()
 ) -> DataFrame:
     """Cast, tag and normalise result rows. Columns beyond the schema stay."""
     df = tag_source(cast_to_schema(df, S.RESULT, as_of), tag)
@@ -49,7 +50,7 @@ def detail_results(
 def transform_results(
     df: DataFrame,
     tag: str,
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
     scope: tuple[str, ...] = (),
     balance: bool = True,

@@ -8,6 +8,7 @@ together.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +47,7 @@ def append_unseen(
     tag: str,
     read_stored: Callable[[], DataFrame],
     append: Callable[[DataFrame], None],
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: transform and append samples not stored yet.
@@ -68,7 +69,7 @@ def ingest(
     tag: str,
     read_stored: Callable[[], DataFrame],
     append: Callable[[DataFrame], None],
-    as_of: Column | None = None,
+    as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
 ) -> None:
     """Take everything that has landed since the last run, then stop."""
