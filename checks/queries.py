@@ -59,6 +59,13 @@ def raw_stations(spark, sf):
     return V.view(spark, sf, V.RAW_STATIONS)
 
 
+def stored_stations(spark, sf):
+    """Typed stations as a table already written, which is what fills work on."""
+    path = f"{scratch_dir(spark, 'stations')}/stations"
+    columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cast_results(spark, sf):
     return columns.cast_to_schema(raw_results(spark, sf), S.RESULT, V.as_of())
 
@@ -388,14 +395,14 @@ def utm_box(spark, sf):
 
 @query
 def county_fill(spark, sf):
-    stations = columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of())
+    stations = stored_stations(spark, sf)
     filled = spatial.fill_county(stations, V.counties(spark, sf))
     return filled.select("Id", "StationId", "StateCode", "CountyCode")
 
 
 @query
 def elevation_fill(spark, sf):
-    stations = columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of())
+    stations = stored_stations(spark, sf)
     filled = spatial.fill_elevation(stations, V.view(spark, sf, V.ELEVATION), 0.5)
     return flat(filled.select("Id", "StationId", "Elev", "ElevUnit", "ElevMeth"))
 
@@ -537,7 +544,7 @@ def update_exported_deduped(spark, sf):
 
 @query
 def post_process(spark, sf):
-    stations = columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of())
+    stations = stored_stations(spark, sf)
     grid = V.view(spark, sf, V.ELEVATION)
     counted = spatial.fill_county(stations, V.counties(spark, sf))
     filled = spatial.fill_elevation(counted, grid, 0.5)
