@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from wellspring import sqlcsv
 from wellspring.model import schema as S
 from wellspring.operators import balance, columns, dedupe, incremental, normalize, spatial
-from wellspring.plans import jobs, loads
+from wellspring.plans import loads
 from wellspring.plans.tails import detail_results, transform_results, transform_stations
 from wellspring.session import scratch_dir
 from wellspring.sources import exported, sdwis, wqp

@@ -6,7 +6,6 @@ import os
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import wellspring as w
 from wellspring import sinks
