@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casting
-from ..functions.text import blank_to_null, computed_once, cut, trimmed
+from ..functions.text import blank_to_null, cut, trimmed
 from ..model import schema as S
 
 _MOMENTS = (T.TimestampNTZType, T.TimestampType, T.DateType)
@@ -87,7 +87,7 @@ def cast_to_schema(df: DataFrame, fields, as_of: Column | datetime.datetime | No
     df = df.withColumns(text)
 
     converted = {
-        f.name: computed_once(F.col(f.name), lambda t: casting.to_timestamp(t, as_of))
+        f.name: casting.to_timestamp(F.col(f.name), as_of)
         if f.kind == "date" and f.name in text
         else cast_expression(F.col(f.name), types[f.name], f)
         for f in present
