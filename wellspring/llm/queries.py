@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
-from .common import table
+from . import ann, langid, minhash, quality, topk, warc
+from .common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +51,71 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, d.doc_id) AS compon
   coalesce(low, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON a = d.doc_id
 """
+
+
+@query
+def op2_warc(spark, sf_dir):
+    """Pages written to WARC archives and read back."""
+    read = warc.archived(spark, table(spark, sf_dir, "pages"), revisit_from=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_warc"] = """
+WITH pages_in AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS first FROM pages_in GROUP BY hex)
+SELECT page_id, strlen(html) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM pages_in JOIN firsts USING (hex)
+"""
+
+
+def not_crc(folds: int, held: int):
+    """Rows whose fold is not the held-out one."""
+    return crc_fold(F.col("doc_id"), folds) != held
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    """Language of every document by the byte network."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, not_crc(3, 1))
+    return found.select("doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_exact_topk(spark, sf_dir):
+    """The 5 highest integer inner products of every 50th vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows, 5)
+
+
+ORACLES["op5_exact_topk"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op9_permutation_index(spark, sf_dir):
+    """The 5 nearest found of every 50th vector by cosine."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows.where("vec_id % 50 = 0"), rows, 5)
+
+
+@query
+def op10_quality(spark, sf_dir):
+    """Quality of every document by kernel ridge regression."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.quality(docs, labels, not_crc(5, 0))
+    held = crc_fold(F.col("doc_id"), 5) == 0
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
