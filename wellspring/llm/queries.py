@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, minhash, quality, topk, warc
-from .common import crc_fold, table
+from . import ann, chat, langid, lengths, minhash, mixing, pieces, quality, topk, warc
+from .common import crc_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,92 @@ def op10_quality(spark, sf_dir):
     found = quality.quality(docs, labels, not_crc(5, 0))
     held = crc_fold(F.col("doc_id"), 5) == 0
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_sentencepiece(spark, sf_dir):
+    """Two distinct sampled segmentations of every document, and their decoded texts."""
+    found = pieces.sample(table(spark, sf_dir, "documents"), k=2)
+    return found.select(
+        "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "log_inclusion",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    """All conversations formatted in budgeted windows and read back."""
+    columns = ["conv_id", "turn", "role", "text"]
+    rows = table(spark, sf_dir, "conversations").select(*columns)
+    said = r"\### Assistant: </turn> ok"
+    rows = rows.union(spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema))
+    read = chat.read_back(chat.windows(rows))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = read.select("conv_id", "window", turns.alias("turns"), F.size("turns").alias("n"), "loss", "chars")
+    in_order = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("window", c))), lambda x: x[c]), "")
+    found = read.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"), in_order("turns").alias("turns"), in_order("loss").alias("loss"), F.sum("chars").alias("formatted_chars")
+    )
+    return found.select(
+        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+ORACLES["op6_chat_format"] = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    '### ' || replace(replace(replace(replace(role, '\', '\s'), '###', '\h'), '</turn>', '\t'), ':', '\c') || ': '
+    || replace(replace(replace(text, '\', '\s'), '###', '\h'), '</turn>', '\t') || '</turn>' || chr(10) AS line
+  FROM given),
+counted AS (
+  SELECT *, pos = 1 AND role = 'system' AS sys, len(regexp_extract_all(line, '[A-Za-z]+|[^A-Za-z\x20\x09-\x0D]')) AS tokens
+  FROM lines),
+placed AS (
+  SELECT *, coalesce(sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (
+      PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    coalesce(max(CASE WHEN sys THEN tokens END) OVER (PARTITION BY conv_id), 0) AS sys_tokens,
+    coalesce(max(CASE WHEN sys THEN length(line) END) OVER (PARTITION BY conv_id), 0) AS sys_chars
+  FROM counted),
+spans AS (SELECT *, greatest(768 - sys_tokens, 1) AS size, start // greatest(768 - sys_tokens, 1) AS span FROM placed),
+windows AS (
+  SELECT conv_id, span, min(start) AS first, sum(CASE WHEN sys THEN 0 ELSE tokens END) AS tokens, sum(length(line)) AS chars,
+    any_value(sys_chars) AS sys_chars, any_value(sys_tokens) AS sys_tokens, any_value(size) AS size
+  FROM spans GROUP BY conv_id, span),
+again AS (
+  SELECT w.conv_id, w.span, sum(length(s.line)) AS chars
+  FROM windows w JOIN spans s ON s.conv_id = w.conv_id AND s.span = w.span - 1 AND NOT s.sys
+    AND w.first - s.start <= least(least(256, w.size), 1024 - w.sys_tokens - w.tokens)
+  GROUP BY w.conv_id, w.span),
+sizes AS (
+  SELECT conv_id, sum(w.chars + coalesce(a.chars, 0) + CASE WHEN span > 0 THEN sys_chars ELSE 0 END) AS chars
+  FROM windows w LEFT JOIN again a USING (conv_id, span) GROUP BY conv_id),
+texts AS (
+  SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos) AS turns,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY pos), '') AS loss
+  FROM lines GROUP BY conv_id)
+SELECT conv_id, n AS n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  chars::BIGINT AS formatted_chars
+FROM texts JOIN sizes USING (conv_id)
+"""
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    """Document rates at which good, low and toxic tokens reach their target weights."""
+    labels = table(spark, sf_dir, "labels")
+    domain = F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+    rows, names = mixing.mixed(
+        table(spark, sf_dir, "documents"), labels.select("doc_id", domain.alias("domain")), {"good": 0.85, "low": 0.08, "toxic": 0.07}
+    )
+    p = (F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(names))
+    return rows.select("doc_id", "tokens", *p, "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    """Token totals of all documents for every context limit."""
+    return lengths.limits(stored(lengths.histogram(table(spark, sf_dir, "documents")), "lengths"))
