@@ -153,15 +153,18 @@ def labelled_windows(docs: DataFrame, usable: Column) -> list:
         raise ValueError(f"more than {MOST_LANGUAGES} languages among the labels")
     if not counts:
         return []
+    per_language = lambda f: F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], f(r["count"]))))[F.col("lang")]
+    share = per_language(lambda n: min(1.0, WINDOWS_PER_LANGUAGE / n))
+    each = per_language(lambda n: -(-WINDOWS_PER_LANGUAGE // n))  # windows of a text, if texts are few
+    unit = float(1 << 40)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], min(1.0, WINDOWS_PER_LANGUAGE / r["count"]))))
-    octets = F.col("text").cast("binary")
-    most = F.greatest(F.octet_length("text") - WINDOW + 1, F.lit(1))
-    chosen = rows.select("lang", draw.alias("draw"), octets.alias("octets"), most.alias("most"))
+    chosen = rows.select("lang", "text", draw.alias("draw")).where(F.col("draw") < share * unit)
+    chosen = chosen.select("lang", "draw", F.col("text").cast("binary").alias("octets"), F.explode(F.sequence(F.lit(1), each)).alias("i"))
+    most = F.greatest(F.octet_length("octets") - WINDOW + 1, F.lit(1))
+    begin = F.pmod(F.xxhash64("draw", "i"), most) + 1
     return (
-        chosen.where(F.col("draw") < share[F.col("lang")] * float(1 << 40))
-        .select("lang", "draw", F.substring("octets", (F.pmod(F.col("draw"), F.col("most")) + 1).cast("int"), F.lit(WINDOW)).alias("window"))
-        .orderBy("draw", "lang", "window")
+        chosen.select("lang", "draw", "i", F.substring("octets", begin.cast("int"), F.lit(WINDOW)).alias("window"))
+        .orderBy("draw", "i", "lang", "window")
         .limit(2 * WINDOWS_PER_LANGUAGE * len(counts))
         .collect()
     )

@@ -15,8 +15,9 @@ however many copies of a vector there are.
 
 Odd rows: vectors that are null, empty or hold null or non-finite components take no
 part, nor do rows without ``vec_id``. Vectors meet those of their own length only. A
-row is not its own candidate, nor is any row with its id. Components and scores
-beyond 64 bits are set to the nearest 64-bit integer. Other columns are not read.
+row is not its own candidate, nor is any row with its id. Components beyond 64 bits
+are set to the nearest 64-bit integer, scores beyond +-(2^62 - 1) to that bound. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from .common import stored
 CELLS = 1024
 #: Query rows scored at a time.
 TOGETHER = 128
-LARGEST = (1 << 63) - 1
+LARGEST = (1 << 62) - 1
 
 
 def quantized(rows: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(float) @ b.T.astype(float)).astype(np.int64)
     if bound <= LARGEST:
         return a @ b.T
-    return np.clip(a.astype(object) @ b.T.astype(object), -LARGEST - 1, LARGEST).astype(np.int64)
+    return np.clip(a.astype(object) @ b.T.astype(object), -LARGEST, LARGEST).astype(np.int64)
 
 
 def scores(batch: pa.RecordBatch, k: int):
@@ -120,7 +121,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     ask, have = query_blocks(quantized(queries)), packed(quantized(candidates), CANDIDATES)
     squares = F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
     reach = quantized(queries).union(quantized(candidates)).agg(F.max(squares).alias("m")).first()["m"] or 0.0
-    reach = min(int(reach * 1.0001) + 1, LARGEST // 2)  # no product of two vectors is larger
+    reach = min(int(reach * 1.0001) + 1, LARGEST)  # no product of two vectors is larger
     width, low = 2 * reach + 1, -reach
     # lows: where each query's range begins; above: scores counted beyond the range.
     ask = ask.withColumn("lows", F.transform("ids", lambda _: F.lit(low))).withColumn("above", F.transform("ids", lambda _: F.lit(0)).cast("array<bigint>"))
