@@ -180,8 +180,8 @@ by_file = chain(ruled_rows, "ruled", "source_file, SampleId")
 ORACLES["charge_balance"] = by_sample.end(balance_rows("totals"))
 ORACLES["charge_balance_by_file"] = by_file.end(balance_rows("totals", "source_file, SampleId"))
 ORACLES["charge_balance_unrounded"] = by_sample.end(
-    f"SELECT SampleId, {rounded('balance', 3)} AS balance, {rounded('cation_total', 3)} AS cation_total, "
-    f"{rounded('anion_total', 3)} AS anion_total FROM totals"
+    f"SELECT SampleId, {rounded('balance')} AS balance, {rounded('cation_total')} AS cation_total, "
+    f"{rounded('anion_total')} AS anion_total FROM totals"
 )
 ORACLES["ion_values"] = by_sample.end(f"SELECT SampleId, ion, {rounded('value')} AS value FROM ions")
 WIDE = ", ".join(f"{rounded(i.replace('+', '_'))} AS {i.replace('+', '_')}" for i in IONS)
@@ -435,7 +435,7 @@ SELECT s.* EXCLUDE (Elev, ElevUnit),
   CASE WHEN lacks AND m IS NOT NULL THEN 'Other' END AS ElevMeth
 FROM (SELECT *, Elev IS NULL OR Elev = 0 OR Elev > 20000 AS lacks FROM {source}) s
 LEFT JOIN (SELECT cell_x, cell_y, min(elevation) AS m FROM grid GROUP BY ALL) g
-  ON floor(Lon_X / 0.5) = g.cell_x AND floor(Lat_Y / 0.5) = g.cell_y"""
+  ON floor(-abs(Lon_X) / 0.5) = g.cell_x AND floor(Lat_Y / 0.5) = g.cell_y"""
 
 
 ELEVATIONS = "Elev + 0.0 AS Elev, ElevUnit, ElevMeth"
@@ -451,7 +451,7 @@ ORACLES["post_process"] = countied.plus(grid=V.ELEVATION, filled=elevated("count
 
 def result_rows(tag: str, rows: str, derived: str, values: dict[str, str]) -> str:
     """Detail rows and balance rows in the shape the loads are compared in."""
-    kinds = {f.name: NULL_OF.get(f.kind, "VARCHAR") for f in S.RESULT}
+    kinds = {f.name: NULL_OF.get(f.kind, "INTEGER" if f.kind == "short" else "VARCHAR") for f in S.RESULT}
 
     def line(source: str, columns: dict[str, str]) -> str:
         return f"SELECT {', '.join(columns.get(c, 'NULL::' + kinds[c]) + ' AS ' + c for c in RESULT_COLUMNS)} FROM {source}"
@@ -475,16 +475,12 @@ ORACLES["transform_results_tail"] = by_sample.plus(derived=balance_rows("totals"
 seeded = by_file.plus(derived=balance_rows("totals", "source_file, SampleId"))
 ORACLES["seed_wqp"] = seeded.end(result_rows("WQP", "ruled", "derived", WQP_VALUES))
 
-STATION_VALUES = {"Lon_X": rounded("Lon_X", 3), "Lat_Y": rounded("Lat_Y", 3), "Elev": "Elev + 0.0", "DataSource": "'WQP'"}
-STATION_LIST = ", ".join(f"{STATION_VALUES.get(c, c)} AS {c}" for c in STATION_COLUMNS)
-ORACLES["transform_stations_tail"] = placed.end(f"SELECT {STATION_LIST}, {SHAPES} FROM placed")
-ORACLES["seed_wqp_stations"] = placed.plus(twins=TWINS).end(f"SELECT {STATION_LIST}, {SHAPES} FROM placed WHERE {KEEP}")
-
 # The database's typed rows under the rules.
 DB_TYPED = "SELECT *, NULL::VARCHAR AS DetectCond FROM extract WHERE SampleId IS NOT NULL"
 DB_VALUES = {
-    **{c: c for c in ("IdNum", "LabName", "Param", "SampleDate", "SampleId", "Unit")},
-    "MDL": rounded("MDL", 4),
+    **{c: c for c in ("AnalysisDate", "CAS_Reg", "IdNum", "LabName", "MDLUnit", "OrgName", "Param", "SampleDate", "SampleId", "Unit")},
+    **{c: rounded(c, 4) for c in ("Lat_Y", "Lon_X", "MDL")},
+    "OrgId": "CAST(OrgId AS VARCHAR)",
     "ParamGroup": GROUP,
     "ResultValue": rounded("ResultValue", 4),
     "SampleTime": "'10:30:00'",
@@ -494,10 +490,33 @@ DB_VALUES = {
 db_ruled = db.plus(db_typed=DB_TYPED, ruled=ruled("db_typed"))
 db_chain = chain(db_ruled, "ruled").plus(derived=balance_rows("totals"))
 ORACLES["seed_sdwis"] = db_chain.end(result_rows("SDWIS", "ruled", "derived", DB_VALUES))
-DB_STATION = """SELECT CAST(StationId AS VARCHAR) AS StationId, StationName,
-  CASE StationType WHEN 'SP' THEN 'Spring' WHEN 'WL' THEN 'Well' WHEN 'IN' THEN 'Stream' WHEN 'SS' THEN 'Facility' END AS StationType,
-  OrgName, Depth, DepthUnit, 'SDWIS' AS DataSource FROM extract"""
-ORACLES["seed_sdwis_stations"] = db_stations.end(DB_STATION)
+STATION_KINDS = {f.name: NULL_OF.get(f.kind, "INTEGER" if f.kind == "short" else "VARCHAR") for f in S.STATION}
+
+
+def station_rows(values: dict[str, str], source: str = "placed") -> str:
+    """Stations in the shape the loads are compared in; what ``values`` lacks is NULL."""
+    return f"SELECT {', '.join(values.get(c, 'NULL::' + STATION_KINDS[c]) + ' AS ' + c for c in STATION_COLUMNS)}, {SHAPES} FROM {source}"
+
+
+STATION_VALUES = {
+    **{c: c for c in ("StationId", "StationName", "StationType", "StateCode", "CountyCode", "ElevUnit", "ConstDate", "Id")},
+    **{c: rounded(c, 3) for c in ("Lon_X", "Lat_Y")},
+    "Elev": "Elev + 0.0",
+    "DataSource": "'WQP'",
+}
+ORACLES["transform_stations_tail"] = placed.end(station_rows(STATION_VALUES))
+ORACLES["seed_wqp_stations"] = placed.plus(twins=TWINS).end(station_rows(STATION_VALUES) + f" WHERE {KEEP}")
+
+DB_STATION = {
+    **{c: c for c in ("StationName", "OrgName", "DepthUnit", "HorCollMeth", "HorRef", "ElevMeth", "ElevRef")},
+    **{c: rounded(c, 3) for c in ("Lon_X", "Lat_Y", "HorAcc", "Elev", "ElevAcc", "Depth")},
+    "OrgId": "CAST(OrgId AS VARCHAR)",
+    "StationId": "CAST(StationId AS VARCHAR)",
+    "StationType": "CASE StationType WHEN 'SP' THEN 'Spring' WHEN 'WL' THEN 'Well' WHEN 'IN' THEN 'Stream' WHEN 'SS' THEN 'Facility' END",
+    "DataSource": "'SDWIS'",
+}
+db_placed = db_stations.plus(placed=utm_sql("Lon_X", "Lat_Y", "extract"))
+ORACLES["seed_sdwis_stations"] = db_placed.end(station_rows(DB_STATION))
 
 EXPORT_VALUES = {
     **{c: c for c in ("Param", "SampleId", "StationId", "Unit")},
@@ -513,12 +532,7 @@ EXPORT_STATION = {
     "StationType": "'Other Groundwater'",
     "DataSource": "'UDOGM'",
 }
-STATION_KINDS = {f.name: NULL_OF.get(f.kind, "INTEGER" if f.kind == "short" else "VARCHAR") for f in S.STATION}
-ORACLES["seed_exported_stations"] = points.end(
-    "SELECT "
-    + ", ".join(f"{EXPORT_STATION.get(c, 'NULL::' + STATION_KINDS[c])} AS {c}" for c in STATION_COLUMNS)
-    + f", {SHAPES} FROM placed WHERE {HAS_SHAPE}"
-)
+ORACLES["seed_exported_stations"] = points.end(station_rows(EXPORT_STATION) + f" WHERE {HAS_SHAPE}")
 
 
 def counted(sql: Sql, tag: str, rows: str) -> str:
@@ -528,15 +542,19 @@ def counted(sql: Sql, tag: str, rows: str) -> str:
 
 ORACLES["seed_all"] = (
     "SELECT DataSource, count(*) AS n_rows, count(ResultValue) AS n_values, count(DISTINCT SampleId) AS n_samples FROM ("
-    + " UNION ALL ".join((counted(seeded, "WQP", "ruled"), counted(db_chain, "SDWIS", "ruled"), counted(export_chain, "UDOGM", "export_ruled")))
+    + " UNION ALL ".join(
+        [counted(seeded, "WQP", "ruled"), counted(db_chain, "SDWIS", "ruled")]
+        + [counted(export_chain, tag, "export_ruled") for tag in ("UDOGM", "UDWR", "UGS")]
+    )
     + ") AS everything GROUP BY DataSource"
 )
 
 # WQP update: from the last stored day on, samples not stored.
-FRESH = """
+BOX = "Lon_X BETWEEN -115 AND -108 AND Lat_Y BETWEEN 35.5 AND 42.5"
+FRESH = f"""
 SELECT * FROM ruled WHERE SampleDate >= (SELECT strftime(max(SampleDate), '%Y-%m-%d') FROM stored)
-  AND SampleId NOT IN (SELECT SampleId FROM stored)"""
-fresh = ruled_rows.plus(stored=V.STORED_RESULTS, fresh=FRESH)
+  AND SampleId NOT IN (SELECT SampleId FROM stored) AND StationId IN (SELECT raw_id FROM stations WHERE {BOX})"""
+fresh = ruled_rows.plus(**stations.views).plus(stored=V.STORED_RESULTS, fresh=FRESH)
 fresh_chain = chain(fresh, "fresh").plus(derived=balance_rows("totals"))
 ORACLES["update_wqp"] = fresh_chain.end(result_rows("WQP", "fresh", "derived", WQP_VALUES))
 ORACLES["update_wqp_stations"] = (
@@ -547,10 +565,10 @@ ORACLES["update_wqp_stations"] = (
         "WHERE StationId NOT IN (SELECT StationId FROM stored_stations)",
         fresh_twins="SELECT DISTINCT plain FROM new_ids WHERE id <> plain AND plain NOT IN (SELECT StationId FROM stored_stations)",
         wanted="SELECT id FROM new_ids WHERE (SELECT count(*) FROM new_ids WHERE id <> plain) = 0 OR plain IN (SELECT plain FROM fresh_twins)",
-        batch="SELECT * FROM placed WHERE raw_id IN (SELECT id FROM wanted)",
+        batch=f"SELECT * FROM placed WHERE raw_id IN (SELECT id FROM wanted) AND {BOX}",
     )
     .end(
-        f"SELECT {STATION_LIST}, {SHAPES} FROM batch WHERE raw_id <> StationId "
+        station_rows(STATION_VALUES, "batch") + " WHERE raw_id <> StationId "
         "OR StationId NOT IN (SELECT StationId FROM batch WHERE raw_id <> StationId)"
     )
 )
@@ -564,8 +582,9 @@ ORACLES["update_sdwis_stations"] = db_fresh.plus(
     results_extract="SELECT DISTINCT StationId FROM ruled",
     station_extract=SDWIS_STATIONS,
     stored_stations=V.STORED_SDWIS_STATIONS,
+    placed=utm_sql("Lon_X", "Lat_Y", "station_extract"),
 ).end(
-    DB_STATION.replace("FROM extract", "FROM station_extract")
+    station_rows(DB_STATION)
     + " WHERE StationId IN (SELECT StationId FROM results_extract)"
     " AND CAST(StationId AS VARCHAR) NOT IN (SELECT StationId FROM stored_stations)"
 )
@@ -574,6 +593,21 @@ ORACLES["update_exported_deduped"] = (
     .end("SELECT * FROM loaded WHERE SampleId NOT IN (SELECT 'E-' || c_custkey FROM {customer} WHERE c_acctbal < 5000)")
 )
 
+# --- landed files and stored tables
+
+WQP_STATION_FIELDS = ("StationId", "StationName", "StationType", "Lon_X", "Lat_Y", "StateCode", "CountyCode", "Elev", "ElevUnit", "ConstDate")
+ORACLES["read_wqp_results"] = Sql(landed=V.LANDED).end("SELECT * FROM landed")
+ORACLES["read_wqp_stations"] = Sql(raw=V.RAW_STATIONS).end(
+    f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in WQP_STATION_FIELDS)} FROM raw"
+)
+ORACLES["stored_results"] = ruled_rows.end(result_rows("WQP", "ruled", "", WQP_VALUES))
+ORACLES["stored_params"] = ruled_rows.end("SELECT Param, count(*) AS n FROM ruled WHERE Param IS NOT NULL GROUP BY Param")
+ORACLES["stored_stations"] = (
+    placed.plus(counties=V.COUNTIES, found=COUNTY_OF, countied=COUNTIED.replace("FROM stations s", "FROM placed s"))
+    .plus(grid=V.ELEVATION, filled=elevated("countied"))
+    .end(station_rows({**STATION_VALUES, "ElevMeth": "ElevMeth"}, "filled"))
+)
+
 # --- SQL over CSV and streams
 
 landed = Sql(landed=V.LANDED)

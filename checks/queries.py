@@ -6,16 +6,18 @@ text and doubles that are not rounded by the operator itself are rounded.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspring import sqlcsv
+from wellspring import sinks, sqlcsv
 from wellspring.model import schema as S
 from wellspring.operators import balance, columns, dedupe, incremental, normalize, spatial
-from wellspring.plans import loads
+from wellspring.plans import jobs, loads
 from wellspring.plans.tails import detail_results, transform_results, transform_stations
 from wellspring.session import scratch_dir
 from wellspring.sources import exported, sdwis, wqp
@@ -59,11 +61,8 @@ def raw_stations(spark, sf):
     return V.view(spark, sf, V.RAW_STATIONS)
 
 
-def stored_stations(spark, sf):
-    """Typed stations as a table already written, which is what fills work on."""
-    path = f"{scratch_dir(spark, 'stations')}/stations"
-    columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of()).write.parquet(path)
-    return spark.read.parquet(path)
+def typed_stations(spark, sf):
+    return columns.cast_to_schema(raw_stations(spark, sf), S.STATION, V.as_of())
 
 
 def cast_results(spark, sf):
@@ -89,7 +88,7 @@ def charge_balance_by_file(spark, sf):
 
 @query
 def charge_balance_unrounded(spark, sf):
-    return flat(balance.sample_totals(detail(spark, sf)), 3)
+    return flat(balance.sample_totals(detail(spark, sf)))
 
 
 @query
@@ -395,26 +394,22 @@ def utm_box(spark, sf):
 
 @query
 def county_fill(spark, sf):
-    stations = stored_stations(spark, sf)
+    stations = typed_stations(spark, sf)
     filled = spatial.fill_county(stations, V.counties(spark, sf))
     return filled.select("Id", "StationId", "StateCode", "CountyCode")
 
 
 @query
 def elevation_fill(spark, sf):
-    stations = stored_stations(spark, sf)
+    stations = typed_stations(spark, sf)
     filled = spatial.fill_elevation(stations, V.view(spark, sf, V.ELEVATION), 0.5)
     return flat(filled.select("Id", "StationId", "Elev", "ElevUnit", "ElevMeth"))
 
 
 # --- whole loads ---------------------------------------------------------------------
 
-RESULT_COLUMNS = [
-    "DataSource", "DetectCond", "IdNum", "LabName", "MDL", "Param", "ParamGroup", "ProjectId", "ResultValue",
-    "SampleDate", "SampleTime", "SampleId", "SampMedia", "StationId", "Unit",
-]
-STATION_COLUMNS = ["StationId", "StationName", "StationType", "Lon_X", "Lat_Y", "StateCode", "CountyCode", "Elev",
-                   "ElevUnit", "ConstDate", "DataSource"]
+RESULT_COLUMNS = [f.name for f in S.RESULT]
+STATION_COLUMNS = [f.name for f in S.STATION if f.name != "Shape"]
 
 
 def _results(df: DataFrame) -> DataFrame:
@@ -460,11 +455,11 @@ def seed_sdwis(spark, sf):
 
 @query
 def seed_sdwis_stations(spark, sf):
-    return flat(sdwis_load(spark, sf).stations.select("StationId", "StationName", "StationType", "OrgName", "Depth", "DepthUnit", "DataSource"))
+    return _stations(sdwis_load(spark, sf).stations)
 
 
-def exported_load(spark, sf):
-    program = exported.PROGRAMS["DOGM"]
+def exported_load(spark, sf, name="DOGM"):
+    program = exported.PROGRAMS[name]
     return loads.exported_seed(
         exported.shared(V.view(spark, sf, V.EXPORTED_STATIONS), S.STATION, point=True),
         exported.shared(V.view(spark, sf, V.EXPORTED_RESULTS), S.RESULT),
@@ -486,8 +481,8 @@ def seed_exported_stations(spark, sf):
 @query
 def seed_all(spark, sf):
     """Rows, samples and balance rows every source would append."""
-    parts = [load(spark, sf).results for load in (wqp_load, sdwis_load, exported_load)]
-    everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    parts = [wqp_load(spark, sf), sdwis_load(spark, sf), *(exported_load(spark, sf, name) for name in exported.PROGRAMS)]
+    everything = reduce(DataFrame.unionByName, (part.results for part in parts))
     return everything.groupBy("DataSource").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("ResultValue").alias("n_values"),
@@ -505,7 +500,6 @@ def wqp_updates(spark, sf):
         V.view(spark, sf, V.STORED_RESULTS),
         today=datetime.date(2024, 1, 1),
         as_of=V.as_of(),
-        in_box=False,
     )
 
 
@@ -532,7 +526,7 @@ def update_sdwis(spark, sf):
 
 @query
 def update_sdwis_stations(spark, sf):
-    return flat(sdwis_updates(spark, sf).stations.select("StationId", "StationName", "StationType", "OrgName", "Depth", "DepthUnit", "DataSource"))
+    return _stations(sdwis_updates(spark, sf).stations)
 
 
 @query
@@ -544,20 +538,81 @@ def update_exported_deduped(spark, sf):
 
 @query
 def post_process(spark, sf):
-    stations = stored_stations(spark, sf)
     grid = V.view(spark, sf, V.ELEVATION)
-    counted = spatial.fill_county(stations, V.counties(spark, sf))
-    filled = spatial.fill_elevation(counted, grid, 0.5)
+    filled = jobs.processed_stations(typed_stations(spark, sf), V.counties(spark, sf), grid, cell=0.5)
     return flat(filled.select("Id", "StationId", "StateCode", "CountyCode", "Elev", "ElevUnit", "ElevMeth"))
 
 
-# --- SQL over CSV and streams --------------------------------------------------------
+# --- landed files and stored tables --------------------------------------------------
+
+
+def _as_landed(df, mapping, path: str) -> None:
+    """A view written as the CSV extract a source would deliver."""
+    write_csv(df.withColumnsRenamed({new: old for old, new in mapping.items()}), path)
+
+
+def _no_blanks(df: DataFrame) -> DataFrame:
+    """CSV does not tell an empty text from a missing one."""
+    return df.select(*(F.nullif(F.col(c), F.lit("")).alias(c) for c in df.columns))
+
+
+@query
+def read_wqp_results(spark, sf):
+    """The landed result extract, read from its folder."""
+    root = scratch_dir(spark, "landed")
+    _as_landed(V.view(spark, sf, V.LANDED), S.WQP_RESULT_COLUMNS, f"{root}/WQP/Results")
+    return _no_blanks(wqp.read_results(spark, root).drop("source_file"))
+
+
+@query
+def read_wqp_stations(spark, sf):
+    """The landed station extract, read from its folder."""
+    root = scratch_dir(spark, "landed")
+    _as_landed(raw_stations(spark, sf).drop("Id", "source_file"), S.WQP_STATION_COLUMNS, f"{root}/WQP/Stations")
+    return _no_blanks(wqp.read_stations(spark, root).drop("source_file"))
+
 
+def _database(spark) -> str:
+    """A new database with the three empty tables."""
+    db = f"wellspring_{uuid.uuid4().hex}"
+    sinks.create_tables(spark, db)
+    return db
 
-def _landed(spark, sf, folder: str) -> str:
-    path = f"{scratch_dir(spark, 'landed')}/{folder}"
-    write_csv(V.view(spark, sf, V.LANDED), path)
-    return path
+
+@query
+def stored_results(spark, sf):
+    """Result rows appended in two parts and read from the table."""
+    db = _database(spark)
+    raw = raw_results(spark, sf)
+    for part in ("file-f", "file-o"):
+        sinks.append_results(detail_results(raw.where(F.col("source_file") == part), "WQP", V.as_of()), db)
+    table = spark.table(sinks.table(db, sinks.RESULTS))
+    return _results(table.where("Id IS NOT NULL").dropDuplicates(["Id"]))
+
+
+@query
+def stored_params(spark, sf):
+    """Parameters rebuilt from the stored results, by SQL over the tables."""
+    db = _database(spark)
+    sinks.append_results(detail(spark, sf), db)
+    sinks.refresh_params(spark, db)
+    sinks.refresh_params(spark, db)  # a rebuild, not an addition
+    params, results = sinks.table(db, sinks.PARAMS), sinks.table(db, sinks.RESULTS)
+    return sqlcsv.query_tables(
+        spark, [f"SELECT count(*) FROM {params}", f"SELECT Param, count(*) AS n FROM {params} JOIN {results} USING (Param) GROUP BY Param"]
+    )
+
+
+@query
+def stored_stations(spark, sf):
+    """Stations appended, then rewritten in place by the post-processing job."""
+    db = _database(spark)
+    sinks.append_stations(transform_stations(raw_stations(spark, sf), "WQP", V.as_of()), db)
+    jobs.post_process(spark, db, V.counties(spark, sf), V.view(spark, sf, V.ELEVATION), cell=0.5)
+    return _stations(spark.table(sinks.table(db, sinks.STATIONS)))
+
+
+# --- SQL over CSV and streams --------------------------------------------------------
 
 
 @query

@@ -63,6 +63,10 @@ SELECT
        WHEN l_linenumber = 6 THEN {_DAY} || ' 13:45:00'
        WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'unknown'
        WHEN l_linenumber = 7 THEN {_MDY} || substr({_DAY}, 3, 2)
+       WHEN l_linenumber = 3 AND l_partkey % 3 = 0 THEN replace({_MDY}, '/', '-') || substr({_DAY}, 1, 4)
+       WHEN l_linenumber = 3 AND l_partkey % 3 = 1 AND EXTRACT(DAY FROM l_shipdate) > 12
+         THEN CAST(EXTRACT(DAY FROM l_shipdate) AS STRING) || '-' || CAST(EXTRACT(MONTH FROM l_shipdate) AS STRING) || '-' || substr({_DAY}, 1, 4)
+       WHEN l_linenumber = 3 AND l_partkey % 3 = 2 THEN replace({_MDY}, '/', '.') || substr({_DAY}, 1, 4)
        ELSE {_DAY} END AS SampleDate,
   CASE l_linenumber WHEN 1 THEN '9:5' WHEN 2 THEN '12' WHEN 3 THEN '23:59:59' WHEN 4 THEN '24:00'
                     WHEN 5 THEN '' WHEN 6 THEN '7:61' ELSE ' 08:30' END AS SampleTime,

@@ -75,7 +75,7 @@ def test_seed_update_and_post_process(spark, root):
     results = lambda: spark.table(sinks.table(db, "Results"))
     assert [c for c in stations().columns if c != "DataSource"] == ["Id"] + [n for n in S.names(S.STATION) if n != "DataSource"]
 
-    w.seed(spark, db, "wqp", root, as_of=AS_OF)
+    assert w.seed(spark, db, "wqp", root, as_of=AS_OF) == {"WQP": {"stations": 2, "results": 14}}
     assert sorted(r.StationId for r in stations().collect()) == ["ORG-1", "ORG-2"]
     one = stations().where("StationId = 'ORG-1'").first()
     assert (one.StationType, one.ConstDate, one.DataSource) == ("Other Groundwater", datetime.date(2011, 1, 1), "WQP")
@@ -87,8 +87,8 @@ def test_seed_update_and_post_process(spark, root):
 
     write(f"{root}/WQP/Results/c.csv", RESULT_HEADER, result_lines("S3", "ORG-3", "2011-02-01", IONS) + result_lines("S0", "ORG-1", "2010-01-01", IONS))
     write(f"{root}/WQP/Stations/c.csv", STATION_HEADER, [["ORG-3", "Lake", "-110", "41", ""], ["ORG-4", "Lake", "-110", "41", ""]])
-    for _ in range(2):  # a second update finds nothing new
-        w.update(spark, db, "WQP", root, today=datetime.date(2012, 1, 1), as_of=AS_OF)
+    for counted in ({"stations": 1, "results": 11}, {"stations": 0, "results": 0}):  # a second update finds nothing new
+        assert w.update(spark, db, "WQP", root, today=datetime.date(2012, 1, 1), as_of=AS_OF) == {"WQP": counted}
         assert sorted(r.StationId for r in stations().collect()) == ["ORG-1", "ORG-2", "ORG-3"]
         assert results().count() == 14 + 8 + 3
     params = [r.Param for r in spark.table(sinks.table(db, "Params")).collect()]
@@ -105,6 +105,12 @@ def test_seed_update_and_post_process(spark, root):
         "ORG-2": (49, 49001, 1234.0, "meters", "Other"),
         "ORG-3": (49, 49001, None, None, None),
     }
+    # the same from within an update, with cells of another size
+    grid = spark.createDataFrame([(-110, 41, 99.0)], "cell_x bigint, cell_y bigint, elevation double")
+    w.update(spark, db, "WQP", root, today=datetime.date(2012, 1, 1), as_of=AS_OF, post={"counties": counties, "elevation": grid, "cell": 1.0})
+    assert stations().where("StationId = 'ORG-3'").first().Elev == 99.0
+    n = w.query_tables(spark, ["SELECT 1", f"SELECT count(*) FROM {sinks.table(db, 'Stations')}"])
+    assert n.first()[0] == 3
 
 
 def test_seed_exported(spark, tmp_path):
@@ -125,6 +131,15 @@ def test_query_csv(spark, tmp_path):
     got = w.query_csv(spark, ["SELECT 1", "SELECT v, z FROM left JOIN right ON left.id = right.id"], files)
     assert [tuple(r) for r in got.collect()] == [("x", "q")]
     assert not spark.catalog.tableExists("left")
+    # a view of the caller's stays what it is
+    spark.range(3).createOrReplaceTempView("left")
+    assert w.query_csv(spark, "SELECT count(*) FROM left", files[:1]).first()[0] == 2
+    assert spark.table("left").count() == 3
+    spark.catalog.dropTempView("left")
+    os.makedirs(f"{tmp_path}/other")
+    write(f"{tmp_path}/other/left.csv", ["id"], [["1"]])
+    with pytest.raises(ValueError, match="equal names"):
+        w.query_csv(spark, "SELECT 1", [files[0], f"{tmp_path}/other/left.csv"])
     write_csv(got, f"{tmp_path}/out")
     part = next(f for f in os.listdir(f"{tmp_path}/out") if f.endswith(".csv"))
     assert open(f"{tmp_path}/out/{part}").read() == '"v","z"\n"x","q"\n'
@@ -162,6 +177,16 @@ def test_plans(spark, root):
     assert "Exchange hashpartitioning" not in text
 
 
+def test_update_reads_its_rows_few_times(spark):
+    """Scans of the rows and of what is stored: one each for details and balances."""
+    from checks import queries
+
+    scans = lambda df: len(re.findall(r"FileScan parquet.*lineitem", plan(df)))
+    sf = "/root/testdata/sf0.001"
+    assert scans(queries.QUERIES["new_results_by_sample"](spark, sf)) == 2
+    assert scans(queries.QUERIES["update_wqp"](spark, sf)) <= 4
+
+
 def test_balance_scan_is_narrow(spark):
     from checks import queries, views as V
 

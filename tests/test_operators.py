@@ -12,6 +12,8 @@ from wellspring.functions.rounding import round2
 from wellspring.functions.text import strip_twin_mark, trimmed
 from wellspring.model import lookups, schema as S
 from wellspring.operators import balance, columns, dedupe, incremental, normalize, skew, spatial
+from wellspring.plans import jobs
+from wellspring.sources import wqp
 
 AS_OF = datetime.datetime(2024, 1, 1)
 
@@ -79,7 +81,9 @@ def test_storage_types(spark):
 
 
 def test_rounding_matches_exact_half_even(spark):
-    values = [2.675, 0.125, 0.375, 1.005, -2.675, -0.125, 0.115, 1e6 + 0.005, 0.0, 10.4449999, -0.004] + [i / 1000 + 0.0005 for i in range(-300, 300)]
+    large = [2.0**k + d for k in (42, 43, 44, 45, 46, 50, 60) for d in (0, 0.0078125, 0.125, 0.375, 0.625, 0.015625, -0.0078125)]
+    large += [(2**45 * 128 + m) / 128.0 for m in range(0, 400, 7)] + [(2**46 * 128 - m) / 128.0 for m in range(16, 800, 16)]
+    values = large + [-x for x in large] + [2.675, 0.125, 0.375, 1.005, -2.675, -0.125, 0.115, 1e6 + 0.005, 0.0, 10.4449999, -0.004] + [i / 1000 + 0.0005 for i in range(-300, 300)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     for x, got in df.select("x", round2(F.col("x"))).collect():
         assert got == float(Decimal(x).quantize(Decimal("0.01"), ROUND_HALF_EVEN)), x
@@ -245,16 +249,85 @@ def test_remove_stored_twins(spark, new, stored, want):
     assert rows(dedupe.remove_stored_twins(ids(spark, *new), ids(spark, *stored))) == [(w,) for w in want]
 
 
-def test_skewed_join_equals_plain_join(spark):
-    left = spark.range(20000).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id")
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k100", 3), ("other", 4), (None, 5)], "k string, v int")
-    hot = [r.k for r in skew.hot_keys(left, ["k"]).collect()]
-    assert "hot" in hot and len(hot) < skew.HOT_PARTS
-    for how in ("left_semi", "left_anti", "left", "inner"):
-        got = skew.join_rows(left, right, "k", how)
-        want = left.join(right, "k", how)
-        assert rows(got.select(*want.columns)) == rows(want), how
+@pytest.mark.parametrize("share", [3, 300])
+def test_hot_keys_are_split_while_joined(spark, share):
+    """Also a key that holds a small share of the rows, and the rows without a key."""
+    n = 400_000
+    left = spark.range(n).select(
+        F.when(F.col("id") % share == 0, "hot").when(F.col("id") % share == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        F.repeat(F.col("id").cast("string"), 8).alias("filler"),
+    )
+    keys = spark.createDataFrame([("hot", 1), ("hot", 2), ("k5", 2), ("other", 4), (None, 5)], "k string, v int")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "199",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        hot = -(-n // share)
+        for got, want in ((skew.keep_known(left, keys, "k"), hot + 1), (skew.keep_new(left, keys, "k"), n - hot - 1)):
+            assert got.columns == left.columns
+            assert got.groupBy().agg(F.count(F.lit(1))).first()[0] == want
+            counts = got.groupBy("k").agg(F.max("filler"))  # reuses the join's partitioning, so a split needs a shuffle more
+            counts.collect()
+            assert "skew=true" in counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("sep", ["/", "-", "."])
+@pytest.mark.parametrize("month", ["1", "01", "12"])
+@pytest.mark.parametrize("day", ["2", "02", "13", "31"])
+def test_dates_in_every_layout(spark, sep, month, day):
+    want = datetime.date(2011, int(month), int(day))
+    texts = [f"2011{sep}{month}{sep}{day}", f"{month}{sep}{day}{sep}2011", f"{month}{sep}{day}{sep}11"]
+    if int(day) > 12:
+        texts.append(f"{day}{sep}{month}{sep}2011")
+    texts += [f"{t}{clock}" for t in texts for clock in (" 5:30", " 05:30:10", "T05:30:10.5", " 5:30 PM")]
+    texts.append(f"2011{int(month):02}{int(day):02}")
+    cells = spark.createDataFrame([(t,) for t in texts], "t string")
+    parsed = cells.select("t", casting.to_timestamp(F.col("t"), F.lit("2020-01-01").cast("timestamp_ntz")).cast("date").alias("d"))
+    wrong = {r.t: r.d for r in parsed.collect() if r.d != want}
+    # a clock with T before am / pm, or after two digits of year, is no layout of ISO text
+    assert not wrong
+
+
+def test_instants_are_read_in_utc(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+        df = spark.sql("SELECT timestamp'2011-01-02 03:00:00 UTC' AS ConstDate")
+        out = columns.cast_to_schema(df, [S.Field("ConstDate", "date")], AS_OF)
+        assert out.select(F.col("ConstDate").cast("date")).first()[0] == datetime.date(2011, 1, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_windows_of_typed_dates_reach_the_scan(spark, tmp_path):
+    day = datetime.date(2011, 1, 2)
+    df = spark.createDataFrame([("a", day), ("b", datetime.date(2012, 1, 1)), ("c", None)], "SampleId string, SampleDate date")
+    df.write.parquet(f"{tmp_path}/d")
+    got = wqp.results_window(spark.read.parquet(f"{tmp_path}/d"), day, day)
+    assert [r.SampleId for r in got.collect()] == ["a"]
+    assert "GreaterThanOrEqual(SampleDate,2011-01-02)" in got._jdf.queryExecution().executedPlan().toString()
+    for kind in ("timestamp_ntz", "timestamp", "string"):
+        cast = spark.read.parquet(f"{tmp_path}/d").withColumn("SampleDate", F.col("SampleDate").cast(kind))
+        assert [r.SampleId for r in wqp.results_window(cast, day, day).collect()] == ["a"]
+
+
+def test_both_fills_use_one_longitude(spark):
+    fields = "Id int, Lon_X double, Lat_Y double, StateCode int, CountyCode int, Elev double, ElevUnit string, ElevMeth string"
+    stations = spark.createDataFrame([(1, 110.5, 40.5, None, None, None, None, None)], fields)
+    county = spark.createDataFrame(
+        [(49, 7, [[{"x": -111.0, "y": 40.0}, {"x": -110.0, "y": 40.0}, {"x": -110.0, "y": 41.0}, {"x": -111.0, "y": 41.0}]])],
+        "state_code int, county_code int, rings array<array<struct<x: double, y: double>>>")
+    grid = spark.createDataFrame([(-111, 40, 5.0)], "cell_x bigint, cell_y bigint, elevation double")
+    r = jobs.processed_stations(stations, county, grid, cell=1.0).first()
+    assert (r.CountyCode, r.Elev) == (7, 5.0)
 
 
 def test_new_rows_are_stable(spark):

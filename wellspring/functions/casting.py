@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import computed_once
+
 _NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
 _TIME = r"^(?:[01]?\d|2[0-3])(?::[0-5]?\d){0,2}$"
 
@@ -73,15 +75,28 @@ def to_timestamp(text: Column, as_of: Column) -> Column:
     cannot be one), compact (``20110102``), and month names (``Jan 2, 2011``,
     ``2-Jan-2011``). A two-digit year lands less than 50 years after ``as_of``.
     Incomplete dates are NULL.
+
+    Most cells are ISO days of ten bytes, which have digits and dashes where no other
+    layout has both. Only the others go through the layouts, in one expression that is
+    called and not inlined: with it Spark generates short methods for the projection
+    around, whatever its settings.
     """
+    digit = lambda i: _byte(text, i).between(_bytes("0"), _bytes("9"))
+    dash = lambda i: _byte(text, i) == _bytes("-")
+    iso_day = (F.octet_length(text) == 10) & dash(5) & dash(8) & digit(2) & digit(3) & digit(4)
+    iso = F.when(iso_day, text).otherwise(computed_once(text, lambda t: _as_iso(t, as_of)))
+    return iso.try_cast("timestamp_ntz")
+
+
+def _as_iso(text: Column, as_of: Column) -> Column:
+    """Text in any layout as ISO text; NULL for no known layout."""
+
     def layout(pattern: str, replacement: str) -> Column:
         return F.regexp_replace(text, pattern, replacement)
 
     last_century = F.regexp_extract(text, _SHORT_YEAR, 3).cast("int") + 2000 >= F.year(as_of) + 50
-    # Most cells are plain ISO days; their length and one byte tell them apart.
-    iso_day = F.octet_length(text).between(8, 10) & (_byte(text, 5) == _bytes("-"))
-    iso = (
-        F.when(iso_day | text.rlike(_ISO), text)
+    return (
+        F.when(text.rlike(_ISO), text)
         .when(text.rlike(_MONTH_FIRST), layout(_MONTH_FIRST, "$3-$1-$2 $4"))
         .when(
             text.rlike(_SHORT_YEAR),
@@ -94,7 +109,6 @@ def to_timestamp(text: Column, as_of: Column) -> Column:
         .when(text.rlike(_NAME_FIRST), _named(text, _NAME_FIRST, 1, 2))
         .when(text.rlike(_NAME_SECOND), _named(text, _NAME_SECOND, 2, 1))
     )
-    return iso.try_cast("timestamp_ntz")
 
 
 def plausible_date(moment: Column, as_of: Column) -> Column:

@@ -48,8 +48,9 @@ def has_twin_mark(c: Column) -> Column:
 def computed_once(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, however often it is used.
 
-    The value is bound as the parameter of an array function. That also keeps the
-    code Spark generates for a wide projection short: the JVM does not compile
-    methods beyond 8000 bytes, and a long one would run interpreted.
+    The value is bound as the parameter of an array function, which Spark calls
+    instead of writing it into the generated loop. A projection that holds one gets
+    its code in many short methods; a fused loop of a wide projection would exceed the
+    8000 bytes beyond which the JVM leaves a method interpreted.
     """
     return F.transform(F.array(value), use)[0]

@@ -42,6 +42,11 @@ def reorder_to_schema(df: DataFrame, fields) -> DataFrame:
     )
 
 
+def utc(instant: Column) -> Column:
+    """The clock in UTC at an instant, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
     """Cast rule of one field, chosen by its declared kind and the input's type.
 
@@ -58,7 +63,7 @@ def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
     if kind == "double":
         return casting.to_double(text) if is_text else text.try_cast("double")
     if kind == "date" and isinstance(source, _MOMENTS):
-        return text.cast("timestamp_ntz")
+        return utc(text) if isinstance(source, T.TimestampType) else text.cast("timestamp_ntz")
     if kind == "time" and is_text:
         return casting.to_time(text)
     return F.lit(None).cast(S.working_type(field))

@@ -1,9 +1,8 @@
 """Which stations and results are new, and which are duplicates.
 
-Key sets are made distinct (with map-side combine) before they meet the rows,
-and the rows go through :mod:`wellspring.operators.skew`, so neither many copies
-of one id nor one id with most of the rows ends up in a single task. No key ever
-reaches the driver.
+Key sets are made distinct (with map-side combine) before they meet the rows, see
+:mod:`wellspring.operators.skew` on ids with most of the rows. No key ever reaches the
+driver.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_twin_mark, strip_twin_mark
-from .skew import join_rows, keep_known, keep_new
+from .skew import keep_known, keep_new
 
 SAMPLE_KEY = ("SampleDate", "SampleId", "Param")
 
@@ -58,7 +57,7 @@ def drop_twins(stations: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     ``scope`` names the columns a batch is told by, such as the source file. A
     stripped id carries no mark, so the marked rows themselves always stay.
     """
-    return join_rows(stations, twin_ids(stations, scope), [*scope, "StationId"], "left_anti")
+    return keep_new(stations, twin_ids(stations, scope), [*scope, "StationId"])
 
 
 def remove_stored_twins(ids: DataFrame, stations: DataFrame) -> DataFrame:

@@ -1,72 +1,39 @@
-"""Equi joins that keep one hot key from landing in one task.
-
-Spark's adaptive skew join splits an oversized partition only when that does
-not cost an extra shuffle, which is exactly not the case when a later step
-groups by the join key. :func:`join_rows` therefore spreads hot keys itself.
+"""Rows whose key is, or is not, in another table.
+
+A key with most of the rows makes a partition that is large on the side of the rows.
+Adaptive execution measures partitions while both sides are shuffled and splits such a
+one, which semi and anti joins allow; rows with a NULL key form one such partition too.
+It does so only where a side's shuffle feeds the join directly. A plain ``distinct`` of
+the keys would stand between, since its shuffle by key serves the join as well, so
+copies of a key are combined per key and slice instead, on the map side first, and at
+most ``SLICES`` copies of a key meet the rows.
+
+:data:`wellspring.session.SETTINGS` allows a split even where a later step then needs a
+shuffle of its own. The rows are read once, and nothing about them is counted
+beforehand.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot when it holds more than 1/HOT_PARTS of the rows, so there are
-#: fewer than HOT_PARTS hot keys whatever the size of the input.
-HOT_PARTS = 256
-#: Number of slices a hot key is cut into.
-SLICES = 64
-
-
-def hot_keys(rows: DataFrame, on: list[str]) -> DataFrame:
-    """Keys holding more than ``1 / HOT_PARTS`` of all rows.
+SLICES = 4
 
-    Counts are combined on the map side, so a hot key costs nothing extra here,
-    and the scan reads the key columns only.
-    """
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * HOT_PARTS > total).select(*on, F.lit(True).alias("_hot"))
 
-
-def join_rows(rows: DataFrame, other: DataFrame, on: str | list[str], how: str) -> DataFrame:
-    """``rows`` joined with ``other`` on equal keys, safe for hot keys in ``rows``.
-
-    Hot keys are cut into slices on the ``rows`` side and repeated once per
-    slice on the other side; all other keys join as usual. Rows with a NULL key
-    match nothing, so they are spread freely. The result equals the plain join
-    for ``left_semi``, ``left_anti``, ``left`` and ``inner``.
-
-    The hot list has fewer than ``HOT_PARTS`` rows by construction, which is
-    what allows its broadcast hint.
-    """
-    on = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(rows, on))
-    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in on))
-    sliced = rows.join(hot, on, "left").withColumn(
-        "_slice",
-        F.when(F.col("_hot") | no_key, F.pmod(F.monotonically_increasing_id(), F.lit(SLICES))).otherwise(0).cast("int"),
-    )
-    repeated = other.join(hot, on, "left").withColumn(
-        "_slice",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    joined = sliced.drop("_hot").join(repeated.drop("_hot"), [*on, "_slice"], how).drop("_slice")
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*rows.columns)
-    return joined
+def few_copies(keys: DataFrame, on: list[str]) -> DataFrame:
+    """The keys with at most ``SLICES`` copies of each."""
+    part = F.pmod(F.spark_partition_id(), F.lit(SLICES))
+    return keys.select(*on, part.alias("_slice")).distinct().select(*on)
 
 
 def keep_known(rows: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
     on = [on] if isinstance(on, str) else list(on)
-    return join_rows(rows, keys.select(*on).distinct(), on, "left_semi")
+    return rows.join(few_copies(keys, on), on, "left_semi").select(*rows.columns)
 
 
 def keep_new(rows: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key does not occur in ``keys``; rows with a NULL key stay."""
     on = [on] if isinstance(on, str) else list(on)
-    return join_rows(rows, keys.select(*on).distinct(), on, "left_anti")
+    return rows.join(few_copies(keys, on), on, "left_anti").select(*rows.columns)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.utm import with_utm
-from .skew import join_rows
 
 #: Cell edge of the county index in degrees.
 COUNTY_CELL = 0.25
@@ -44,6 +43,11 @@ def cell_of(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size))
 
 
+def western(lon: Column) -> Column:
+    """A longitude as a number; a positive one lacks its sign."""
+    return F.when(lon > 0, -lon).otherwise(lon).cast("double")
+
+
 def county_cells(counties: DataFrame, size: float = COUNTY_CELL) -> DataFrame:
     """Index of counties by grid cell.
 
@@ -118,7 +122,7 @@ def locate_counties(points: DataFrame, counties: DataFrame, key: str = "Id", siz
     placed = points.select(key, "lon", "lat").withColumns(
         {"cell_x": cell_of(F.col("lon"), size), "cell_y": cell_of(F.col("lat"), size)}
     )
-    candidates = join_rows(placed, county_cells(counties, size), ["cell_x", "cell_y"], "inner")
+    candidates = placed.join(county_cells(counties, size), ["cell_x", "cell_y"])
     return (
         candidates.where(inside(F.col("edges"), F.col("lon"), F.col("lat")))
         .groupBy(key)
@@ -136,7 +140,7 @@ def fill_county(stations: DataFrame, counties: DataFrame, key: str = "Id", size:
     lacking = F.col("StateCode").isNull() | F.col("CountyCode").isNull()
     points = stations.where(lacking & F.col("Lon_X").isNotNull() & F.col("Lat_Y").isNotNull()).select(
         key,
-        F.when(F.col("Lon_X") > 0, -F.col("Lon_X")).otherwise(F.col("Lon_X")).cast("double").alias("lon"),
+        western(F.col("Lon_X")).alias("lon"),
         F.col("Lat_Y").cast("double").alias("lat"),
     )
     found = locate_counties(points, counties, key, size)
@@ -160,22 +164,23 @@ def lacks_elevation() -> Column:
 def fill_elevation(stations: DataFrame, grid: DataFrame, size: float = ELEVATION_CELL) -> DataFrame:
     """Set Elev, ElevUnit and ElevMeth of stations without a usable elevation.
 
-    ``grid`` holds cell_x, cell_y (see :func:`cell_of`) and elevation in metres.
-    Stations outside the grid stay as they are.
+    ``grid`` holds cell_x, cell_y (see :func:`cell_of`) and elevation in metres;
+    ``size`` is the edge of its cells in degrees. Stations outside the grid stay as
+    they are.
     """
     lacking = lacks_elevation()
     grid = grid.groupBy("cell_x", "cell_y").agg(F.min("elevation").alias("_elevation"))
     # Only stations in need get a cell; for the others the key is NULL.
     keyed = stations.withColumns(
         {
-            "cell_x": F.when(lacking, cell_of(F.col("Lon_X").cast("double"), size)),
+            "cell_x": F.when(lacking, cell_of(western(F.col("Lon_X")), size)),
             "cell_y": F.when(lacking, cell_of(F.col("Lat_Y").cast("double"), size)),
         }
     )
     hit = F.col("_elevation").isNotNull()
     # Unit and method of a filled elevation.
     return (
-        join_rows(keyed, grid, ["cell_x", "cell_y"], "left")
+        keyed.join(grid, ["cell_x", "cell_y"], "left")
         .withColumns(
             {
                 "Elev": F.coalesce("_elevation", "Elev"),

@@ -7,7 +7,7 @@ append, see :mod:`wellspring.plans.jobs` for the writing jobs.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -42,15 +42,17 @@ def wqp_update(
     as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
     in_box: bool = True,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Load:
     """Samples not stored yet, from the latest stored day on, and the stations
-    they need. ``stations`` and ``results`` are landed extracts."""
+    they need. ``stations`` and ``results`` are landed extracts. ``stage`` may store
+    the new results, which stations, details and balances are all derived from."""
     since = watermark(stored_results, wqp.TAG)
     results = wqp.results_window(results, since, today or datetime.date.today())
     if in_box:
         stations = wqp.stations_in_box(stations)
         results = dedupe.keep_known(results, stations, "StationId")
-    fresh = dedupe.new_results_by_sample(results, stored_results)
+    fresh = stage(dedupe.new_results_by_sample(results, stored_results))
     ids = dedupe.remove_stored_twins(dedupe.new_station_ids(fresh, stored_stations), stored_stations)
     batch = dedupe.drop_twins(dedupe.stations_by_id(stations, ids))
     return Load(
@@ -75,6 +77,7 @@ def sdwis_update(
     as_of: Column | datetime.datetime | None = None,
     tables: Tables = Tables(),
     balance: bool = False,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Load:
     """Results after the latest stored day whose (day, sample, parameter) is new,
     and the stations they need.
@@ -84,8 +87,7 @@ def sdwis_update(
     without a sample id or parameter cannot be looked up by key and are left out.
     """
     since = watermark(stored_results, sdwis.TAG)
-    results = sdwis.results(source, since).where(F.col("SampleId").isNotNull() & F.col("Param").isNotNull())
-    fresh = dedupe.new_results_by_key(results, stored_results)
+    fresh = stage(sdwis.results(source, since, stored_results).where(F.col("SampleId").isNotNull() & F.col("Param").isNotNull()))
     ids = dedupe.new_station_ids(fresh.select(F.col("StationId").cast("string")), stored_stations)
     return Load(
         transform_stations(sdwis.stations(source, ids), sdwis.TAG, as_of, tables),

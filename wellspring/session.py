@@ -1,11 +1,10 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, and stages in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs are written for. Partition sizes follow the data: adaptive
 #: execution coalesces small shuffle partitions and splits large ones.
@@ -13,14 +12,19 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed partition even if a later step then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.filterPushdown": "true",
-    # The JVM leaves methods beyond 8000 bytes interpreted. Above that size Spark
-    # shall generate separate, short methods instead of one fused loop.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Sets :data:`SETTINGS` in a session that came from elsewhere. The jobs do it."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark. On a cluster the
     session comes from spark-submit; pass it to the functions as it is."""
@@ -39,12 +43,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared one the cluster names in
-    ``spark.checkpoint.dir``. Only a local master may fall back to a temporary
-    folder of this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wellspring-")
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``,
+    or below the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once to the shared folder as Parquet, and read from there."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -95,5 +95,7 @@ def table_name(path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header line first. Every value is quoted: Spark cannot quote by type."""
-    df.write.mode(mode).option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    """Header line first. Every value is quoted, as Spark cannot quote by type, and
+    keeps the blanks at its ends."""
+    writer = df.write.mode(mode).option("header", True).option("quoteAll", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

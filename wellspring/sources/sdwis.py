@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import keep_known
+from ..operators.skew import few_copies, keep_known
 
 TAG = "SDWIS"
 TABLES = ("tinwsf", "tinwsys", "tinloc", "tsasmppt", "tsasampl", "tsasar", "tsaanlyt", "tsalab", "tinwlcas")
@@ -66,11 +66,20 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in TABLES}
 
 
-def read_tables_jdbc(spark: SparkSession, url: str, owner: str = "UTV80", **options) -> dict[str, DataFrame]:
-    """The same tables straight from the database. Options such as
-    ``partitionColumn`` / ``numPartitions`` are passed on."""
+def read_tables_jdbc(
+    spark: SparkSession, url: str, owner: str, partitioning: Mapping[str, Mapping[str, str]] | None = None, **options
+) -> dict[str, DataFrame]:
+    """The same tables straight from the database, of the schema ``owner``.
+
+    ``partitioning`` has the ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+    ``numPartitions`` of each table that shall be read in parallel; other options hold
+    for all tables.
+    """
+    partitioning = partitioning or {}
     return {
-        name: spark.read.format("jdbc").options(url=url, dbtable=f"{owner}.{name.upper()}", **options).load()
+        name: spark.read.format("jdbc")
+        .options(url=url, dbtable=f"{owner}.{name.upper()}", **options, **partitioning.get(name, {}))
+        .load()
         for name in TABLES
     }
 
@@ -94,19 +103,34 @@ def _measured_samples(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def results(tables: Mapping[str, DataFrame], since=None) -> DataFrame:
-    """Result extract; with ``since``, only samples collected strictly later."""
+def results(tables: Mapping[str, DataFrame], since=None, known: DataFrame | None = None) -> DataFrame:
+    """Result extract; with ``since``, only samples collected strictly later, and with
+    ``known``, only results whose (SampleDate as a day, SampleId, Param) it lacks.
+
+    Known keys leave before the columns that only widen the rows are joined.
+    """
     t = {name: tables[name].alias(name) for name in ("tinwsys", "tinloc", "tsaanlyt", "tsalab")}
-    joined = (
-        _measured_samples(tables)
-        .join(t["tinwsys"], _equals("tinwsf.TINWSYS_IS_NUMBER", "tinwsys.TINWSYS_IS_NUMBER"))
-        .join(t["tinloc"], _equals("tinwsf.TINWSF_IS_NUMBER", "tinloc.TINWSF_IS_NUMBER"))
-        .join(t["tsaanlyt"], _equals("tsasar.TSAANLYT_IS_NUMBER", "tsaanlyt.TSAANLYT_IS_NUMBER"))
-        .join(t["tsalab"], _equals("tsasampl.TSALAB_IS_NUMBER", "tsalab.TSALAB_IS_NUMBER"))
+    joined = _measured_samples(tables).join(
+        t["tsaanlyt"], _equals("tsasar.TSAANLYT_IS_NUMBER", "tsaanlyt.TSAANLYT_IS_NUMBER")
     )
     if since is not None:
         # Compared as a moment of the column's own type, so the scan can skip files.
         joined = joined.where(F.col("tsasampl.COLLLECTION_END_DT") > F.lit(since).cast("date"))
+    if known is not None:
+        day = F.col("SampleDate").cast("date")
+        keys = known.select(day.alias("_day"), F.col("SampleId").alias("_sample"), F.col("Param").alias("_param"))
+        keys = few_copies(keys, keys.columns)
+        same = (
+            (F.col("tsasampl.COLLLECTION_END_DT").cast("date") == F.col("_day"))
+            & (F.col("tsasampl.LAB_ASGND_ID_NUM") == F.col("_sample"))
+            & (F.col("tsaanlyt.NAME") == F.col("_param"))
+        )
+        joined = joined.join(keys, same, "left_anti")
+    joined = (
+        joined.join(t["tinwsys"], _equals("tinwsf.TINWSYS_IS_NUMBER", "tinwsys.TINWSYS_IS_NUMBER"))
+        .join(t["tinloc"], _equals("tinwsf.TINWSF_IS_NUMBER", "tinloc.TINWSF_IS_NUMBER"))
+        .join(t["tsalab"], _equals("tsasampl.TSALAB_IS_NUMBER", "tsalab.TSALAB_IS_NUMBER"))
+    )
     return joined.select(*(F.col(column).alias(field) for field, column in RESULT_COLUMNS.items()))
 
 
@@ -139,7 +163,9 @@ def stations(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> D
         facilities = facilities.join(
             wanted, F.col("TINWSF_IS_NUMBER").cast("string") == F.col("_wanted"), "left_semi"
         )
-    t = {name: tables[name].alias(name) for name in ("tinwsys", "tinloc", "tinwlcas")}
+    t = {name: tables[name].alias(name) for name in ("tinwsys", "tinloc")}
+    # A well has many casing rows of few depths.
+    casings = tables["tinwlcas"].select("TINWSF_IS_NUMBER", "BOTTOM_DEPTH_MSR", "BOTTOM_DP_MSR_UOM").distinct()
     joined = (
         facilities.alias("tinwsf")
         .join(t["tinwsys"], _equals("tinwsf.TINWSYS_IS_NUMBER", "tinwsys.TINWSYS_IS_NUMBER"))
@@ -147,7 +173,7 @@ def stations(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> D
             t["tinloc"].where(F.col("LATITUDE_MEASURE") != 0),
             _equals("tinwsf.TINWSF_IS_NUMBER", "tinloc.TINWSF_IS_NUMBER"),
         )
-        .join(t["tinwlcas"], _equals("tinwsf.TINWSF_IS_NUMBER", "tinwlcas.TINWSF_IS_NUMBER"), "left")
+        .join(casings.alias("tinwlcas"), _equals("tinwsf.TINWSF_IS_NUMBER", "tinwlcas.TINWSF_IS_NUMBER"), "left")
     )
     by = [F.col(column).alias(field) for field, column in STATION_COLUMNS.items()]
     by += [

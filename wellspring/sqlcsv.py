@@ -22,19 +22,22 @@ def query_csv(spark: SparkSession, statements: str | Iterable[str], files: Itera
     """Run one or several statements over CSV files; return the last result.
 
     Each file is a table named after it, without folder and extension; every
-    value is text. Files may be joined.
+    value is text. Files may be joined; two files of one name are an error.
+
+    The names live in a session of their own with the caller's settings, so views of
+    the caller are neither replaced nor dropped.
     """
-    names = []
-    try:
-        for path in files:
-            name = table_name(path)
-            read_text_csv(spark, path).createOrReplaceTempView(f"`{name}`")
-            names.append(name)
-        return _run(spark, statements)
-    finally:
-        # The result is resolved by now and does not need the names any more.
-        for name in names:
-            spark.catalog.dropTempView(name)
+    files = list(files)
+    paths = {table_name(path): path for path in files}
+    if len(paths) < len(files):
+        raise ValueError(f"files of equal names: {sorted(files)}")
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for name, path in paths.items():
+        read_text_csv(own, path).createOrReplaceTempView(f"`{name}`")
+    return _run(own, statements)
 
 
 def query_tables(spark: SparkSession, statements: str | Iterable[str]) -> DataFrame:

@@ -57,8 +57,12 @@ def append_unseen(
     """
 
     def run(batch: DataFrame, _epoch: int) -> None:
-        fresh = new_results_by_sample(batch, read_stored())
-        append(transform_results(fresh, tag, as_of, tables, scope=(FILE,)))
+        # Details and balances both read the batch.
+        fresh = new_results_by_sample(batch, read_stored()).persist()
+        try:
+            append(transform_results(fresh, tag, as_of, tables, scope=(FILE,)))
+        finally:
+            fresh.unpersist()
 
     return run
 
