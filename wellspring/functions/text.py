@@ -17,23 +17,22 @@ TWIN_MARK, TWIN_REPLACEMENT = "_WQX-", "-"
 def trimmed(c: Column) -> Column:
     """Strip whitespace of all kinds from both ends.
 
-    Nearly every cell begins and ends with a visible ASCII character, which one
-    byte at each end tells; only the others pay for ``btrim`` with its long
+    Nearly every cell begins and ends with a visible ASCII character, which a
+    comparison and its last byte tell; only the others pay for ``btrim`` with its long
     character list. ``c`` should be a plain column: it is used several times.
     """
-    data = c.cast("binary")
-    first, last = F.lit(bytearray(b"!")), F.lit(bytearray(b"~"))
-    clean = F.substring(data, 1, 1).between(first, last) & F.substring(data, -1, 1).between(first, last)
+    ends = F.substring(c.cast("binary"), -1, 1).between(F.lit(bytearray(b"!")), F.lit(bytearray(b"~")))
+    clean = (c >= F.lit("!")) & (c < F.lit("\x7f")) & ends
     return F.when(clean, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
-def cut(c: Column, length: int) -> Column:
-    """The first ``length`` characters; short values are passed on untouched."""
-    return F.when(F.octet_length(c) <= length, c).otherwise(F.substring(c, 1, length))
-
-
-def blank_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+def cut(c: Column, length: int | None = None) -> Column:
+    """NULL for an empty text, else the first ``length`` characters; short values are
+    passed on untouched. ``c`` should be a plain column: it is used several times."""
+    size = F.octet_length(c)
+    if length is None:
+        return F.when(size > 0, c)
+    return F.when(size.between(1, length), c).when(size > length, F.substring(c, 1, length))
 
 
 def strip_twin_mark(c: Column) -> Column:

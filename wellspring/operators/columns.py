@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casting
-from ..functions.text import blank_to_null, cut, trimmed
+from ..functions.text import cut, trimmed
 from ..model import schema as S
 
 _MOMENTS = (T.TimestampNTZType, T.TimestampType, T.DateType)
@@ -55,8 +55,7 @@ def cast_expression(text: Column, source: T.DataType, field: S.Field) -> Column:
     is_text = isinstance(source, T.StringType)
     kind = field.kind
     if kind == "string":
-        out = blank_to_null(text if is_text else trimmed(text.cast("string")))
-        return cut(out, field.length) if field.length else out
+        return cut(text if is_text else trimmed(text.cast("string")), field.length or None)
     if kind in ("short", "long"):
         type_name = "int" if kind == "short" else "bigint"
         return casting.to_integer(text, type_name) if is_text else text.try_cast(type_name)

@@ -15,6 +15,10 @@ SETTINGS = {
     # Split a skewed partition even if a later step then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM leaves methods beyond 8000 bytes interpreted. Above that size Spark
+    # shall generate separate, short methods instead of one fused loop. The casts do
+    # not need it; wide projections of a caller's own may.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
