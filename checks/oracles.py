@@ -7,7 +7,6 @@ rules appear as the finite cases the views contain.
 
 from __future__ import annotations
 
-from wellspring.functions import utm
 from wellspring.model import schema as S
 
 from . import views as V
@@ -180,8 +179,8 @@ by_file = chain(ruled_rows, "ruled", "source_file, SampleId")
 ORACLES["charge_balance"] = by_sample.end(balance_rows("totals"))
 ORACLES["charge_balance_by_file"] = by_file.end(balance_rows("totals", "source_file, SampleId"))
 ORACLES["charge_balance_unrounded"] = by_sample.end(
-    f"SELECT SampleId, {rounded('balance')} AS balance, {rounded('cation_total')} AS cation_total, "
-    f"{rounded('anion_total')} AS anion_total FROM totals"
+    f"SELECT SampleId, {rounded('balance', 9)} AS balance, {rounded('cation_total', 9)} AS cation_total, "
+    f"{rounded('anion_total', 9)} AS anion_total FROM totals"
 )
 ORACLES["ion_values"] = by_sample.end(f"SELECT SampleId, ion, {rounded('value')} AS value FROM ions")
 WIDE = ", ".join(f"{rounded(i.replace('+', '_'))} AS {i.replace('+', '_')}" for i in IONS)
@@ -380,12 +379,26 @@ WHERE CAST(l_shipdate AS DATE) BETWEEN '{WINDOW[0]}' AND '{WINDOW[1]}'
 # --- spatial
 
 
+# Fixed values of the published sixth-order series on the GRS 80 ellipsoid: its
+# coefficients, the scaled radius of the rectified meridian, and the eccentricity.
+SERIES = (
+    0.0008377318247285513,
+    7.608527848149476e-07,
+    1.1976455209422675e-09,
+    2.4291706548410134e-12,
+    5.711757817902035e-15,
+    1.4911177751870803e-17,
+)
+RADIUS = 6364902.1661127405
+ECCENTRICITY = 0.08181919104281579
+
+
 def utm_sql(lon: str, lat: str, source: str) -> str:
-    """Rows of ``source`` with utm_x, utm_y, by the same published series."""
-    xi = " + ".join(f"({a!r})::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(utm.ALPHA, 1))
-    eta = " + ".join(f"({a!r})::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(utm.ALPHA, 1))
-    radius = f"({utm.SCALE * utm._RADIUS!r})::DOUBLE"
-    e = f"({utm._E!r})::DOUBLE"
+    """Rows of ``source`` with utm_x, utm_y, by the published series."""
+    xi = " + ".join(f"({a!r})::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(SERIES, 1))
+    eta = " + ".join(f"({a!r})::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(SERIES, 1))
+    radius = f"({RADIUS!r})::DOUBLE"
+    e = f"({ECCENTRICITY!r})::DOUBLE"
     return f"""
 SELECT * EXCLUDE (xi, eta), 500000 + {radius} * (eta + {eta}) AS utm_x, {radius} * (xi + {xi}) AS utm_y
 FROM (SELECT * EXCLUDE (t, d), atan2(t, cos(d)) AS xi, asinh(sin(d) / sqrt(t * t + cos(d) * cos(d))) AS eta

@@ -88,7 +88,7 @@ def charge_balance_by_file(spark, sf):
 
 @query
 def charge_balance_unrounded(spark, sf):
-    return flat(balance.sample_totals(detail(spark, sf)))
+    return flat(balance.sample_totals(detail(spark, sf)), 9)
 
 
 @query

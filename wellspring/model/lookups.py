@@ -87,268 +87,254 @@ STATION_TYPES = {
 }
 
 
-def _lines(text: str) -> tuple[str, ...]:
-    return tuple(line.strip() for line in text.strip().splitlines())
-
-
 # Parameter names by analyte class.
-MAJOR_METALS = _lines(
-    """
-    calcium
-    dissolved calcium
-    dissolved magnesium
-    dissolved potassium
-    dissolved sodium
-    magnesium
-    potassium
-    sodium
-    sodium adsorption ratio
-    sodium adsorption ratio [(na)/(sq root of 1/2 ca + mg)]
-    sodium plus potassium
-    sodium, percent total cations
-    total calcium
-    total magnesium
-    total potassium
-    total sodium
-    percent sodium
-    hypochlorite ion
-    """
+MAJOR_METALS = (
+    "calcium",
+    "dissolved calcium",
+    "dissolved magnesium",
+    "dissolved potassium",
+    "dissolved sodium",
+    "magnesium",
+    "potassium",
+    "sodium",
+    "sodium adsorption ratio",
+    "sodium adsorption ratio [(na)/(sq root of 1/2 ca + mg)]",
+    "sodium plus potassium",
+    "sodium, percent total cations",
+    "total calcium",
+    "total magnesium",
+    "total potassium",
+    "total sodium",
+    "percent sodium",
+    "hypochlorite ion",
 )
-MAJOR_NONMETALS = _lines(
-    """
-    acidity as caco3
-    alkalinity
-    alkalinity, bicarbonate as caco3
-    alkalinity, carbonate as caco3
-    alkalinity, hydroxide as caco3
-    alkalinity, phenolphthalein (total hydroxide+1/2 carbonate)
-    alkalinity, total
-    alkalinity, total as caco3
-    bicarbonate
-    bicarbonate as caco3
-    bicarbonate as hco3
-    bromide
-    carbon dioxide
-    carbonate
-    carbonate (co3)
-    carbonate as caco3
-    carbonate as co3
-    chloride
-    chlorine
-    dissolved oxygen (do)
-    dissolved oxygen (field)
-    dissolved oxygen saturation
-    fluoride
-    fluorine
-    gran acid neutralizing capacity
-    hydrogen
-    hydrogen ion
-    hydroxide
-    inorganic carbon
-    oxygen
-    silica
-    silicon
-    sulfate
-    sulfide
-    sulfur
-    total alkalinity as caco3
-    total carbon
-    silica d/sio2
-    t. alk/caco3
-    alkalinity as cac03
-    silica, dis. si02
-    carbon, total
-    chlorine dioxide
-    chlorite
-    residual chlorine
-    hydroxide as calcium carbonate
-    hydrogen sulfide
-    alkalinity, caco3 stability
-    acidity, total (caco3)
-    acidity, m.o. (caco3)
-    alkalinity, bicarbonate
-    alkalinity, carbonate
-    alkalinity, phenolphthalein
-    total chlorine
-    combined chlorine
-    perchlorate
-    free residual chlorine
-    """
+MAJOR_NONMETALS = (
+    "acidity as caco3",
+    "alkalinity",
+    "alkalinity, bicarbonate as caco3",
+    "alkalinity, carbonate as caco3",
+    "alkalinity, hydroxide as caco3",
+    "alkalinity, phenolphthalein (total hydroxide+1/2 carbonate)",
+    "alkalinity, total",
+    "alkalinity, total as caco3",
+    "bicarbonate",
+    "bicarbonate as caco3",
+    "bicarbonate as hco3",
+    "bromide",
+    "carbon dioxide",
+    "carbonate",
+    "carbonate (co3)",
+    "carbonate as caco3",
+    "carbonate as co3",
+    "chloride",
+    "chlorine",
+    "dissolved oxygen (do)",
+    "dissolved oxygen (field)",
+    "dissolved oxygen saturation",
+    "fluoride",
+    "fluorine",
+    "gran acid neutralizing capacity",
+    "hydrogen",
+    "hydrogen ion",
+    "hydroxide",
+    "inorganic carbon",
+    "oxygen",
+    "silica",
+    "silicon",
+    "sulfate",
+    "sulfide",
+    "sulfur",
+    "total alkalinity as caco3",
+    "total carbon",
+    "silica d/sio2",
+    "t. alk/caco3",
+    "alkalinity as cac03",
+    "silica, dis. si02",
+    "carbon, total",
+    "chlorine dioxide",
+    "chlorite",
+    "residual chlorine",
+    "hydroxide as calcium carbonate",
+    "hydrogen sulfide",
+    "alkalinity, caco3 stability",
+    "acidity, total (caco3)",
+    "acidity, m.o. (caco3)",
+    "alkalinity, bicarbonate",
+    "alkalinity, carbonate",
+    "alkalinity, phenolphthalein",
+    "total chlorine",
+    "combined chlorine",
+    "perchlorate",
+    "free residual chlorine",
 )
-MINOR_NONMETALS = _lines(
-    """
-    antimony
-    argon
-    arsenate (aso43-)
-    arsenic
-    arsenite
-    boron
-    bromine
-    cyanide
-    cyanides amenable to chlorination (hcn & cn)
-    dissolved arsenic
-    dissolved boron
-    dissolved selenium
-    germanium
-    helium
-    iodide
-    krypton
-    neon
-    perchlorate
-    selenium
-    sulfur hexafluoride
-    tellurium
-    total arsenic
-    total boron
-    total selenium
-    xenon
-    chlorate
-    antimony, total
-    boron, total
-    asbestos
-    """
+MINOR_NONMETALS = (
+    "antimony",
+    "argon",
+    "arsenate (aso43-)",
+    "arsenic",
+    "arsenite",
+    "boron",
+    "bromine",
+    "cyanide",
+    "cyanides amenable to chlorination (hcn & cn)",
+    "dissolved arsenic",
+    "dissolved boron",
+    "dissolved selenium",
+    "germanium",
+    "helium",
+    "iodide",
+    "krypton",
+    "neon",
+    "perchlorate",
+    "selenium",
+    "sulfur hexafluoride",
+    "tellurium",
+    "total arsenic",
+    "total boron",
+    "total selenium",
+    "xenon",
+    "chlorate",
+    "antimony, total",
+    "boron, total",
+    "asbestos",
 )
-MINOR_METALS = _lines(
-    """
-    aluminum
-    barium
-    beryllium
-    bismuth
-    cadmium
-    cerium
-    cesium
-    chromium
-    chromium(iii)
-    chromium(vi)
-    cobalt
-    copper
-    dissolved aluminum
-    dissolved barium
-    dissolved cadmium
-    dissolved chromium
-    dissolved copper
-    dissolved iron
-    dissolved lead
-    dissolved manganese
-    dissolved mercury
-    dissolved molybdenum
-    dissolved nickel
-    dissolved zinc
-    dysprosium
-    erbium
-    europium
-    gadolinium
-    gallium
-    holmium
-    iron
-    iron, ion (fe2+)
-    lanthanum
-    lead
-    lithium
-    lutetium
-    manganese
-    mercury
-    molybdenum
-    neodymium
-    nickel
-    niobium
-    praseodymium
-    rhenium
-    rubidium
-    samarium
-    scandium
-    silver
-    strontium
-    terbium
-    thallium
-    thulium
-    tin
-    titanium
-    total aluminum
-    total barium
-    total cadmium
-    total chromium
-    total copper
-    total iron
-    total iron-d max, dmr
-    total lead
-    total manganese
-    total mercury
-    total molybdenum
-    total nickel
-    total zinc
-    tungsten
-    vanadium
-    ytterbium
-    yttrium
-    zinc
-    zirconium
-    iron, dissolved
-    chromium, hex, as cr
-    copper, free
-    iron, suspended
-    manganese, suspended
-    beryllium, total
-    bismuth, total
-    chromium, hex
-    cobalt, total
-    lithium, total
-    molybdenum, total
-    thallium, total
-    tin, total
-    titanium, total
-    vanadium, total
-    lead summary
-    copper summary
-    manganese, dissolved
-    """
+MINOR_METALS = (
+    "aluminum",
+    "barium",
+    "beryllium",
+    "bismuth",
+    "cadmium",
+    "cerium",
+    "cesium",
+    "chromium",
+    "chromium(iii)",
+    "chromium(vi)",
+    "cobalt",
+    "copper",
+    "dissolved aluminum",
+    "dissolved barium",
+    "dissolved cadmium",
+    "dissolved chromium",
+    "dissolved copper",
+    "dissolved iron",
+    "dissolved lead",
+    "dissolved manganese",
+    "dissolved mercury",
+    "dissolved molybdenum",
+    "dissolved nickel",
+    "dissolved zinc",
+    "dysprosium",
+    "erbium",
+    "europium",
+    "gadolinium",
+    "gallium",
+    "holmium",
+    "iron",
+    "iron, ion (fe2+)",
+    "lanthanum",
+    "lead",
+    "lithium",
+    "lutetium",
+    "manganese",
+    "mercury",
+    "molybdenum",
+    "neodymium",
+    "nickel",
+    "niobium",
+    "praseodymium",
+    "rhenium",
+    "rubidium",
+    "samarium",
+    "scandium",
+    "silver",
+    "strontium",
+    "terbium",
+    "thallium",
+    "thulium",
+    "tin",
+    "titanium",
+    "total aluminum",
+    "total barium",
+    "total cadmium",
+    "total chromium",
+    "total copper",
+    "total iron",
+    "total iron-d max, dmr",
+    "total lead",
+    "total manganese",
+    "total mercury",
+    "total molybdenum",
+    "total nickel",
+    "total zinc",
+    "tungsten",
+    "vanadium",
+    "ytterbium",
+    "yttrium",
+    "zinc",
+    "zirconium",
+    "iron, dissolved",
+    "chromium, hex, as cr",
+    "copper, free",
+    "iron, suspended",
+    "manganese, suspended",
+    "beryllium, total",
+    "bismuth, total",
+    "chromium, hex",
+    "cobalt, total",
+    "lithium, total",
+    "molybdenum, total",
+    "thallium, total",
+    "tin, total",
+    "titanium, total",
+    "vanadium, total",
+    "lead summary",
+    "copper summary",
+    "manganese, dissolved",
 )
-NUTRIENTS = _lines(
-    """
-    ammonia
-    ammonia and ammonium
-    ammonia as n
-    ammonia as nh3
-    ammonia-nitrogen
-    ammonia-nitrogen as n
-    ammonium
-    ammonium as n
-    dissolved nitrate: no3
-    inorganic nitrogen (nitrate and nitrite)
-    inorganic nitrogen (nitrate and nitrite) as n
-    kjeldahl nitrogen
-    nitrate
-    nitrate as n
-    nitrate-nitrogen
-    nitrite
-    nitrite as n
-    nitrogen
-    orthophosphate
-    nitrogen, ammonium/ammonia ratio
-    dissolved nitrite: no2
-    nitrogen, mixed forms (nh3), (nh4), organic, (no2) and (no3)
-    no2+no3 as n
-    organic nitrogen
-    ortho. phosphate
-    orthophosphate as p
-    phosphate
-    phosphate-phosphorus
-    phosphate-phosphorus as p
-    phosphate-phosphorus as po4
-    phosphorus
-    total phosphorus
-    nitrate + nitrite as n
-    phosphate, tot. dig. (as p)
-    t.k.n.
-    phosphorus 0 as p
-    nitrogen-ammonia as (n)
-    nitrate-nitrite
-    phosphate, total
-    total kjeldahl nitrogen (in water mg/l)
-    phosphorus, soluble
-    phosphate, reactive
-    phosphorus, total
-    """
+NUTRIENTS = (
+    "ammonia",
+    "ammonia and ammonium",
+    "ammonia as n",
+    "ammonia as nh3",
+    "ammonia-nitrogen",
+    "ammonia-nitrogen as n",
+    "ammonium",
+    "ammonium as n",
+    "dissolved nitrate: no3",
+    "inorganic nitrogen (nitrate and nitrite)",
+    "inorganic nitrogen (nitrate and nitrite) as n",
+    "kjeldahl nitrogen",
+    "nitrate",
+    "nitrate as n",
+    "nitrate-nitrogen",
+    "nitrite",
+    "nitrite as n",
+    "nitrogen",
+    "orthophosphate",
+    "nitrogen, ammonium/ammonia ratio",
+    "dissolved nitrite: no2",
+    "nitrogen, mixed forms (nh3), (nh4), organic, (no2) and (no3)",
+    "no2+no3 as n",
+    "organic nitrogen",
+    "ortho. phosphate",
+    "orthophosphate as p",
+    "phosphate",
+    "phosphate-phosphorus",
+    "phosphate-phosphorus as p",
+    "phosphate-phosphorus as po4",
+    "phosphorus",
+    "total phosphorus",
+    "nitrate + nitrite as n",
+    "phosphate, tot. dig. (as p)",
+    "t.k.n.",
+    "phosphorus 0 as p",
+    "nitrogen-ammonia as (n)",
+    "nitrate-nitrite",
+    "phosphate, total",
+    "total kjeldahl nitrogen (in water mg/l)",
+    "phosphorus, soluble",
+    "phosphate, reactive",
+    "phosphorus, total",
 )
 
 # Parameter group of each analyte class. The first class that

@@ -29,101 +29,87 @@ class Field:
     label: str = ""
 
 
-def _fields(text: str) -> tuple[Field, ...]:
-    """One field per line: ``name | kind[(length)] | label``."""
-    out = []
-    for line in text.strip().splitlines():
-        name, kind, label = (part.strip() for part in line.split("|"))
-        kind, _, length = kind.partition("(")
-        out.append(Field(name, kind, int(length.rstrip(")")) if length else None, label))
-    return tuple(out)
-
-
 # Names, order, kinds and lengths of the station table (33 fields).
-STATION = _fields(
-    """
-    OrgId          | string(20)   | Organization Id
-    OrgName        | string(100)  | Organization Name
-    StationId      | string(100)  | Monitoring Location Id
-    StationName    | string(100)  | Monitoring Location Name
-    StationType    | string(100)  | Monitoring Location Type
-    StationComment | string(1500) | Monitoring Location Description
-    HUC8           | string(8)    | HUC 8 Digit Code
-    Lon_X          | double       | Longitude
-    Lat_Y          | double       | Latitude
-    HorAcc         | double       | Horizontal Accuracy
-    HorAccUnit     | string(10)   | Horizontal Accuracy Unit
-    HorCollMeth    | string(100)  | Horizontal Collection Method
-    HorRef         | string(10)   | Horizontal Reference Datum
-    Elev           | double       | Elevation
-    ElevUnit       | string(15)   | Elevation Unit
-    ElevAcc        | double       | Elevation Accuracy
-    ElevAccUnit    | string(4)    | Elevation Accuracy Units
-    ElevMeth       | string(100)  | Elevation Collection Method
-    ElevRef        | string(12)   | Elevation Reference Datum
-    StateCode      | short        | State Code
-    CountyCode     | short        | County Code
-    Aquifer        | string(100)  | Aquifer
-    FmType         | string(100)  | Formation Type
-    AquiferType    | string(100)  | Aquifer Type
-    ConstDate      | date         | Construction Date
-    Depth          | double       | Well Depth
-    DepthUnit      | string(10)   | Well Depth Units
-    HoleDepth      | double       | Hole Depth
-    HoleDUnit      | string(10)   | Hole Depth Units
-    demELEVm       | double       | DEM Elevation m
-    DataSource     | string(20)   | Database Source
-    WIN            | long         | WR Well Id
-    Shape          | geometry     | Shape
-    """
+STATION = (
+    Field("OrgId", "string", 20, "Organization Id"),
+    Field("OrgName", "string", 100, "Organization Name"),
+    Field("StationId", "string", 100, "Monitoring Location Id"),
+    Field("StationName", "string", 100, "Monitoring Location Name"),
+    Field("StationType", "string", 100, "Monitoring Location Type"),
+    Field("StationComment", "string", 1500, "Monitoring Location Description"),
+    Field("HUC8", "string", 8, "HUC 8 Digit Code"),
+    Field("Lon_X", "double", None, "Longitude"),
+    Field("Lat_Y", "double", None, "Latitude"),
+    Field("HorAcc", "double", None, "Horizontal Accuracy"),
+    Field("HorAccUnit", "string", 10, "Horizontal Accuracy Unit"),
+    Field("HorCollMeth", "string", 100, "Horizontal Collection Method"),
+    Field("HorRef", "string", 10, "Horizontal Reference Datum"),
+    Field("Elev", "double", None, "Elevation"),
+    Field("ElevUnit", "string", 15, "Elevation Unit"),
+    Field("ElevAcc", "double", None, "Elevation Accuracy"),
+    Field("ElevAccUnit", "string", 4, "Elevation Accuracy Units"),
+    Field("ElevMeth", "string", 100, "Elevation Collection Method"),
+    Field("ElevRef", "string", 12, "Elevation Reference Datum"),
+    Field("StateCode", "short", None, "State Code"),
+    Field("CountyCode", "short", None, "County Code"),
+    Field("Aquifer", "string", 100, "Aquifer"),
+    Field("FmType", "string", 100, "Formation Type"),
+    Field("AquiferType", "string", 100, "Aquifer Type"),
+    Field("ConstDate", "date", None, "Construction Date"),
+    Field("Depth", "double", None, "Well Depth"),
+    Field("DepthUnit", "string", 10, "Well Depth Units"),
+    Field("HoleDepth", "double", None, "Hole Depth"),
+    Field("HoleDUnit", "string", 10, "Hole Depth Units"),
+    Field("demELEVm", "double", None, "DEM Elevation m"),
+    Field("DataSource", "string", 20, "Database Source"),
+    Field("WIN", "long", None, "WR Well Id"),
+    Field("Shape", "geometry", None, "Shape"),
 )
 
 # Names, order, kinds and lengths of the result table (42 fields).
-RESULT = _fields(
-    """
-    AnalysisDate   | date         | Analysis Start Date
-    AnalytMeth     | string(150)  | Analytical Method Name
-    AnalytMethId   | string(50)   | Analytical Method Id
-    AutoQual       | string       | Auto Quality Check
-    CAS_Reg        | string(50)   | CAS Registry
-    Chrg           | float        | Charge
-    DataSource     | string       | Database Source
-    DetectCond     | string(50)   | Result Detection Condition
-    IdNum          | long         | Unique Id
-    LabComments    | string(500)  | Laboratory Comment
-    LabName        | string(100)  | Laboratory Name
-    Lat_Y          | double       | Latitude
-    LimitType      | string(250)  | Detection Limit Type
-    Lon_X          | double       | Longitude
-    MDL            | double       | Detection Quantitation Limit
-    MDLUnit        | string(50)   | Detection Quantitation Limit Unit
-    MethodDescript | string(100)  | Method Description
-    OrgId          | string(50)   | Organization Id
-    OrgName        | string(150)  | Organization Name
-    Param          | string(500)  | Parameter
-    ParamGroup     | string       | Parameter Group
-    ProjectId      | string(50)   | Project Id
-    QualCode       | string(50)   | Measure Qualifier Code
-    ResultComment  | string(1500) | Result Comment
-    ResultStatus   | string(50)   | Result Status
-    ResultValue    | double       | Result Measure Value
-    SampComment    | string(50)   | Sample Comment
-    SampDepth      | double       | Sample Depth
-    SampDepthRef   | string(50)   | Sample Depth Reference
-    SampDepthU     | string(50)   | Sample Depth Units
-    SampEquip      | string(75)   | Collection Equipment
-    SampFrac       | string(50)   | Result Sample Fraction
-    SampleDate     | date         | Sample Date
-    SampleTime     | time         | Sample Time
-    SampleId       | string(100)  | Sample Id
-    SampMedia      | string(50)   | Sample Media
-    SampMeth       | string(50)   | Collection Method
-    SampMethName   | string(75)   | Collection Method Name
-    SampType       | string(75)   | Sample Type
-    StationId      | string(50)   | Station Id
-    Unit           | string(50)   | Result Measure Unit
-    USGSPCode      | string(50)   | USGS P Code
-    """
+RESULT = (
+    Field("AnalysisDate", "date", None, "Analysis Start Date"),
+    Field("AnalytMeth", "string", 150, "Analytical Method Name"),
+    Field("AnalytMethId", "string", 50, "Analytical Method Id"),
+    Field("AutoQual", "string", None, "Auto Quality Check"),
+    Field("CAS_Reg", "string", 50, "CAS Registry"),
+    Field("Chrg", "float", None, "Charge"),
+    Field("DataSource", "string", None, "Database Source"),
+    Field("DetectCond", "string", 50, "Result Detection Condition"),
+    Field("IdNum", "long", None, "Unique Id"),
+    Field("LabComments", "string", 500, "Laboratory Comment"),
+    Field("LabName", "string", 100, "Laboratory Name"),
+    Field("Lat_Y", "double", None, "Latitude"),
+    Field("LimitType", "string", 250, "Detection Limit Type"),
+    Field("Lon_X", "double", None, "Longitude"),
+    Field("MDL", "double", None, "Detection Quantitation Limit"),
+    Field("MDLUnit", "string", 50, "Detection Quantitation Limit Unit"),
+    Field("MethodDescript", "string", 100, "Method Description"),
+    Field("OrgId", "string", 50, "Organization Id"),
+    Field("OrgName", "string", 150, "Organization Name"),
+    Field("Param", "string", 500, "Parameter"),
+    Field("ParamGroup", "string", None, "Parameter Group"),
+    Field("ProjectId", "string", 50, "Project Id"),
+    Field("QualCode", "string", 50, "Measure Qualifier Code"),
+    Field("ResultComment", "string", 1500, "Result Comment"),
+    Field("ResultStatus", "string", 50, "Result Status"),
+    Field("ResultValue", "double", None, "Result Measure Value"),
+    Field("SampComment", "string", 50, "Sample Comment"),
+    Field("SampDepth", "double", None, "Sample Depth"),
+    Field("SampDepthRef", "string", 50, "Sample Depth Reference"),
+    Field("SampDepthU", "string", 50, "Sample Depth Units"),
+    Field("SampEquip", "string", 75, "Collection Equipment"),
+    Field("SampFrac", "string", 50, "Result Sample Fraction"),
+    Field("SampleDate", "date", None, "Sample Date"),
+    Field("SampleTime", "time", None, "Sample Time"),
+    Field("SampleId", "string", 100, "Sample Id"),
+    Field("SampMedia", "string", 50, "Sample Media"),
+    Field("SampMeth", "string", 50, "Collection Method"),
+    Field("SampMethName", "string", 75, "Collection Method Name"),
+    Field("SampType", "string", 75, "Sample Type"),
+    Field("StationId", "string", 50, "Station Id"),
+    Field("Unit", "string", 50, "Result Measure Unit"),
+    Field("USGSPCode", "string", 50, "USGS P Code"),
 )
 
 # Source column -> target column of the station CSV extract.
