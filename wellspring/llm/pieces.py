@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import mix, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Paths that leave a path where its prefix has lost so much log probability are left
 #: out of the agenda if others leave with at least e^(FAR / 2) times their mass. They
 #: would change a draw with probability under 1e-20.
@@ -56,6 +56,8 @@ class Vocabulary(NamedTuple):
     pieces: list[bytes]
     weights: np.ndarray
     byte_ids: np.ndarray
+    root: np.ndarray  # the state after one byte, or 0
+    pair: np.ndarray  # the state after two bytes, or 0
     keys: np.ndarray  # state * 256 + byte, sorted
     targets: np.ndarray
     ends: np.ndarray  # the piece that ends in a state, or -1
@@ -91,75 +93,81 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
         ends[at] = i
     keys = np.array([s * 256 + b for s, b in states], np.int64)
     order = np.argsort(keys)
+    root, pair = np.zeros(256, np.int32), np.zeros(1 << 16, np.int32)
+    first = {s: b for (at, b), s in states.items() if at == 0}
+    root[list(first.values())] = list(first)
+    for (at, b), s in states.items():
+        if at in first:
+            pair[first[at] * 256 + b] = s
     used = np.zeros(256, bool)
     used[np.frombuffer(b"".join(pieces[i] for i in plain), np.uint8)] = True
-    return Vocabulary(pieces, weights, byte_ids, keys[order], np.array(list(states.values()), np.int32)[order], np.array(ends, np.int32), ~used & (np.arange(256) < 128))
+    return Vocabulary(pieces, weights, byte_ids, root, pair, keys[order], np.array(list(states.values()), np.int32)[order], np.array(ends, np.int32), ~used & (np.arange(256) < 128))
 
 
 class Lattice:
     """The lattices of distinct words, laid one after the other.
 
     Node = place in ``data``, plus one end node per word. The edges of a node are
-    ``first[node]`` up to ``first[node + 1]``, with piece ``piece``, next node
-    ``after``, conditional probability ``p`` and its running sum ``reach`` (beyond 1 at
-    the last edge).
+    ``first[node]`` up to ``first[node + 1]``, with piece ``piece``, next node ``after``,
+    conditional log probability ``log_p`` and the running sum ``reach`` of the
+    probabilities (beyond 1 at the last edge).
     """
 
     def __init__(self, v: Vocabulary, alpha: float, data: np.ndarray, lengths: np.ndarray):
         n = len(data)
         ends = np.cumsum(lengths) - 1  # the end node of each word
-        end = np.repeat(ends, lengths)
+        end = np.repeat(ends, lengths).astype(np.int32)
         start, size, piece = self.matches(v, data, end)
         order = np.argsort(start, kind="stable")
-        start, size, piece = start[order], size[order], piece[order]
-        self.first = np.searchsorted(start, np.arange(n + 1))
-        self.piece, self.after = piece, start + size
-        weight = alpha * v.weights[piece]
+        start, self.piece = start[order], piece[order]
+        self.after = start + size[order]
+        del size, piece, order
+        self.first = np.searchsorted(start, np.arange(n + 1, dtype=np.int32)).astype(np.int32)
+        count = np.diff(self.first)
         total = np.full(n, -np.inf)
         total[ends] = 0.0
         # from the end of the words towards their beginnings
-        count = np.diff(self.first)
-        nodes = np.flatnonzero(count)
+        nodes = np.flatnonzero(count).astype(np.int32)
         away = end[nodes] - nodes
-        nodes = nodes[np.argsort(away.astype(np.uint16) if len(away) and away.max() < 1 << 16 else away, kind="stable")]
-        away = end[nodes] - nodes
-        edge_from = np.concatenate(([0], np.cumsum(count[nodes])))
-        edges = np.repeat(self.first[nodes] - edge_from[:-1], count[nodes]) + np.arange(edge_from[-1])
+        by_level = np.argsort(away.astype(np.uint16) if len(away) and away.max() < 1 << 16 else away, kind="stable")
+        nodes, away, many = nodes[by_level], away[by_level], count[nodes[by_level]]
+        edge_from = np.concatenate(([0], np.cumsum(many)))
+        edges = np.repeat(self.first[nodes] - edge_from[:-1].astype(np.int32), many) + np.arange(edge_from[-1], dtype=np.int32)
+        weight, after = (alpha * v.weights)[self.piece[edges]], self.after[edges]
+        self.log_p = np.empty(len(edges))
         level = np.flatnonzero(np.concatenate(([True], away[1:] != away[:-1], [True]))) if len(nodes) else []
-        value = np.empty(len(edges))
         for a, b in zip(level[:-1], level[1:], strict=True):
-            own = edges[edge_from[a] : edge_from[b]]
-            x = weight[own] + total[self.after[own]]
-            value[own] = x
+            own = slice(edge_from[a], edge_from[b])
+            x = weight[own] + total[after[own]]
             at = edge_from[a:b] - edge_from[a]
             top = np.maximum.reduceat(x, at)
-            total[nodes[a:b]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, count[nodes[a:b]])), at))
-        self.log_p = np.minimum(value - np.repeat(total, count), 0.0)
-        self.p = np.exp(self.log_p)
-        running = np.concatenate(([0.0], np.cumsum(self.p)))
+            sums = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[a:b])), at))
+            total[nodes[a:b]] = sums
+            weight[own] = x - np.repeat(sums, many[a:b])
+        self.log_p[edges] = np.minimum(weight, 0.0)
+        running = np.concatenate(([0.0], np.cumsum(np.exp(self.log_p))))
         self.reach = running[1:] - np.repeat(running[self.first[:-1]], count)
         self.reach[self.first[1:][count > 0] - 1] = 2.0
-        self.rest = np.log(np.maximum(1 - self.p, 1e-300))
-        self.rest[np.repeat(count, count) == 1] = -np.inf
         self.is_end = np.zeros(n, bool)
         self.is_end[ends] = True
 
+    def rest(self, edges: np.ndarray) -> np.ndarray:
+        """Log probability of leaving each edge's node by another edge."""
+        with np.errstate(divide="ignore"):
+            return np.log(-np.expm1(self.log_p[edges]))
+
     @staticmethod
     def matches(v: Vocabulary, data: np.ndarray, end: np.ndarray):
         """(node, bytes, piece) of all edges."""
-        at, state, depth = np.flatnonzero(np.arange(len(data)) < end), None, 0
+        at, state, depth = np.flatnonzero(np.arange(len(data)) < end).astype(np.int32), np.zeros(0, np.int32), 0
         found = []
         octets = data.astype(np.int64)
-        root = np.zeros(256, np.int32)
-        for b in range(256):
-            j = np.searchsorted(v.keys, b)
-            root[b] = v.targets[j] if j < len(v.keys) and v.keys[j] == b else 0
         lead = np.array([1 if b < 0x80 else 0 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256)])
         spelled = lead[data]  # bytes of the character that begins here, unless it has a piece
         spelled[end] = 0
         while len(at):
-            if state is None:
-                to = root[data[at]]
+            if depth < 2:
+                to = v.pair[octets[at] << 8 | octets[at + 1]] if depth else v.root[data[at]]
                 ok = to > 0
             else:
                 key = state.astype(np.int64) * 256 + octets[at + depth]
@@ -169,14 +177,14 @@ class Lattice:
             depth += 1
             piece = v.ends[state]
             hit = piece >= 0
-            found.append((at[hit], np.full(np.count_nonzero(hit), depth), piece[hit]))
+            found.append((at[hit], np.full(np.count_nonzero(hit), depth, np.int32), piece[hit]))
             whole = at[hit]
             spelled[whole[spelled[whole] == depth]] = 0
             more = at + depth < end[at]
             at, state = at[more], state[more]
         for k in range(4):
-            own = np.flatnonzero(spelled > k) + k
-            found.append((own, np.ones(len(own), np.int64), v.byte_ids[data[own]]))
+            own = (np.flatnonzero(spelled > k) + k).astype(np.int32)
+            found.append((own, np.ones(len(own), np.int32), v.byte_ids[data[own]]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def draw(self, nodes: np.ndarray, keys: np.ndarray, places: np.ndarray):
@@ -202,7 +210,7 @@ class Lattice:
         for o in owners:
             steps[o + 1] += 1
         begins = np.cumsum(steps)
-        out = np.empty(begins[-1], np.int64)
+        out = np.empty(begins[-1], np.int32)
         for step, (o, edge) in enumerate(zip(owners, taken, strict=True)):
             out[begins[o] + step] = edge
         return out, begins
@@ -242,9 +250,9 @@ def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k:
     def path(edges, word_ends, branch: int, most: float) -> Path:
         sums = np.concatenate(([0.0], np.cumsum(lattice.log_p[edges])))
         far = min(int(np.searchsorted(-sums, FAR - sums[branch])), len(edges))
-        place = sums[branch:far] + lattice.rest[edges[branch:far]]
+        place = sums[branch:far] + lattice.rest(edges[branch:far])
         if far < len(edges) and not place.max(initial=-np.inf) > sums[far] + FAR / 2:
-            place = sums[branch:-1] + lattice.rest[edges[branch:]]  # nothing leaves nearby
+            place = sums[branch:-1] + lattice.rest(edges[branch:])  # nothing leaves nearby
         bounds = np.full(branch + len(place), -np.inf)
         bounds[branch:] = truncated(place, fresh(len(place)), most)
         return Path(edges, word_ends, sums, float(sums[-1]), bounds)
@@ -264,15 +272,15 @@ def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k:
         node = int(words[word] if step == (old.word_ends[word - 1] if word else 0) else lattice.after[old.edges[step - 1]])
         # one of the node's other edges, then to the end of the word, then a fresh path
         options = [e for e in range(lattice.first[node], lattice.first[node + 1]) if e not in drawn]
-        mass = lattice.p[options]
+        mass = np.exp(lattice.log_p[options])
         tail = [choose(options, mass, fresh(1)[0])]
         drawn.append(tail[0])
-        rest = float(mass.sum() - lattice.p[tail[0]]) if len(options) > 1 else 0.0
+        rest = float(mass.sum() - np.exp(lattice.log_p[tail[0]])) if len(options) > 1 else 0.0
         place = old.sums[step] + (np.log(rest) if rest > 0 else -np.inf)
         old.bounds[step] = truncated(np.array(place), fresh(1)[0], most)
         while not lattice.is_end[node := lattice.after[tail[-1]]]:
             options = range(lattice.first[node], lattice.first[node + 1])
-            tail.append(choose(options, lattice.p[options.start : options.stop], fresh(1)[0]))
+            tail.append(choose(options, np.exp(lattice.log_p[options.start : options.stop]), fresh(1)[0]))
         other, other_ends = draws[len(paths)]
         seam = other_ends[word]
         edges = np.concatenate((old.edges[:step], tail, other[seam:]))
@@ -318,7 +326,7 @@ def samples(v: Vocabulary, alpha: float, k: int, data: np.ndarray, offsets: np.n
     name = mix(sums[word + size] - sums[word] + size.astype(np.uint64))
     _, example, kind = np.unique(name, return_index=True, return_inverse=True)
     lengths = size[example] + 1
-    base = np.cumsum(lengths) - lengths
+    base = (np.cumsum(lengths) - lengths).astype(np.int32)
     source = np.repeat(word[example] - base, lengths) + np.arange(lengths.sum())
     lattice = Lattice(v, alpha, octets[np.minimum(source, max(len(octets) - 1, 0))], lengths)
     nodes = base[kind]
@@ -368,13 +376,22 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
 
 
 def decoded(v: Vocabulary, batches):
-    """Batches of samples -> the same with the texts their pieces spell."""
+    """Batches of samples -> the same with the texts their pieces spell, without the
+    space that was put before them."""
+    spelled = np.frombuffer(b"".join(v.pieces), np.uint8)
+    size = np.array([len(p) for p in v.pieces], np.int32)
+    begin = np.cumsum(size) - size
     for batch in batches:
         ids = batch.column(2)
-        flat, ends = ids.values.to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_numpy().tolist()
-        pieces = v.pieces
-        texts = [b"".join([pieces[i] for i in flat[a:b]])[1:] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, "decoded"])
+        flat, rows = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+        width = size[flat]
+        ends = np.concatenate(([0], np.cumsum(width)))
+        octets = spelled[np.repeat((begin[flat] - ends[:-1]).astype(np.int32), width) + np.arange(ends[-1], dtype=np.int32)]
+        first = ends[rows[:-1][np.diff(rows) > 0]]
+        octets = np.delete(octets, first)
+        begins = ends[rows] - np.concatenate(([0], np.cumsum(np.diff(rows) > 0)))
+        texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(octets))
+        yield pa.RecordBatch.from_arrays([*batch.columns, texts.cast(pa.string())], names=[*batch.schema.names, "decoded"])
 
 
 def sample(docs: DataFrame, k: int = 2, alpha: float = 1.0, model: str = MODEL, seed: Column | None = None) -> DataFrame:
