@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wellspring.llm import mixing
 
 SCHEMA = "text string, doc_id bigint, rate string, tokens int, domain string"
+CLASHES = ("rated_id", "copy", "posterior", "bucket", "word")
 
 
 def made(n=240, seed=1):
@@ -82,6 +83,7 @@ def test_odd_rows_and_copies(spark):
     assert sorted(got) == [1, 2, 3, 4] and got[1].tokens == 4 and got[2].tokens == got[3].tokens == 0 and got[4].tokens == 30_000
     assert got[2].posterior == got[3].posterior
     rates = spark.createDataFrame([(1, 2.0), (2, 0.0), (3, 1.0)], "doc_id bigint, rate double")
+    docs = docs.withColumns({c: F.lit("x") for c in CLASHES})
     out = mixing.applied(docs, rates)
     assert out.columns == docs.columns
     assert Counter(r.doc_id for r in out.collect()) == {1: 4, 3: 1, None: 1, 4: 1}

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from wellspring.llm import pieces
 from wellspring.llm.common import stored, table
@@ -34,3 +36,25 @@ def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels"):
         table(spark, SF, t).where("false").write.parquet(str(tmp_path / f"{t}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    """Nulls, long and repeated texts, and columns named like the operators' own."""
+    docs = table(spark, SF, "documents").limit(60)
+    clashes = ("score", "lang_pred", "has_letter", "set_key", "node", "rate", "copy", "sample", "ids", "x", "tokens")
+    odd = spark.createDataFrame(
+        [(None, "words of a text", None, None, None), (-1, None, "en", "s", 0), (-2, "", None, "s", 0), (-3, "long words " * 20_000, "en", None, 3), (-4, "same words here " * 9, "en", "s", 1), (-4, "same words here " * 9, "en", "s", 1), (-5, "1 2 3", "en", "s", 1)],
+        docs.schema,
+    )
+    path = str(tmp_path / "documents.parquet")
+    docs.union(odd).withColumns({c: F.lit(None).cast("string") for c in clashes}).write.parquet(path)
+    labels = table(spark, SF, "labels").union(spark.createDataFrame([(None, 1, 1), (-3, None, None), (-4, 1, 0)], table(spark, SF, "labels").schema))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    df = spark.read.parquet(path)
+    for name, stage in corpus_pipeline.STAGES:
+        before, df = df, stored(stage(spark, df, str(tmp_path)), name)
+        if name != "segmentation":
+            assert df.columns == before.columns
+        if name == "language":
+            assert {-1, -2, -5}.isdisjoint(r.doc_id for r in df.collect())
+    assert df.count() > 0
