@@ -232,8 +232,8 @@ def quality(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
 
 def good(docs: DataFrame, labels: DataFrame, usable: Column, least_score: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score at least ``least_score``."""
-    stats = statistics(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
-    model = fit(stored(labelled_statistics(stats, labels, usable), "labelled"))
+    # Statistics of all texts are narrower to shuffle than the texts with a label.
+    model = fit(stored(labelled_statistics(statistics(docs), labels, usable), "labelled"))
     at = docs.columns.index("text")
 
     def run(batches):
