@@ -32,6 +32,34 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Numbers that ids are hashed to for a filter before a join; as many are broadcast at most.
+MARKS = 1 << 20
+
+
+def split_by(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` may be in the one column of ``ids``, rows whose key is not).
+
+    The ids' hashes decide, ``MARKS`` numbers at most whatever the input, so wide rows
+    that a join by key cannot touch need no shuffle. A null key may be either.
+    """
+    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS))
+    name = unused(rows, "mark")
+    marks = F.broadcast(ids.toDF("id").select(mark("id").alias(name)).distinct())
+    same = mark(F.col(key)) == F.col(name)
+    return rows.join(marks, same, "left_semi"), rows.join(marks, same, "left_anti")
+
+
+def among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``key`` is in the one column of ``ids``."""
+    return split_by(rows, key, ids)[0].join(ids.toDF(key).distinct(), key, "left_semi").select(*rows.columns)
+
+
+def without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``key`` is null or not in the one column of ``ids``."""
+    maybe, rest = split_by(rows, key, ids)
+    return maybe.join(ids.toDF(key).distinct(), key, "left_anti").select(*rows.columns).union(rest)
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, shingle_hashes, stored, text_slices
+from .common import Words, among, mix, shingle_hashes, stored, text_slices, without
 
 BUCKET_BITS = 9
 BUCKETS = 1 << BUCKET_BITS
@@ -199,8 +199,7 @@ def likely(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
     """Pairs with den * |intersection| >= num * |union| on the full sets."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
+    some = among(docs.select("doc_id", "text"), "doc_id", pairs.select(F.explode(F.array("a", "b"))))
     sets = stored(shingle_sets(some, shingle_words), "sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"h_{x}"))
 
@@ -315,12 +314,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         .select("set_key", F.col("s.doc_id").alias("node"), "s.n_shingles", "s.registers"),
         "nodes",
     )
-    # One document id may stand for several sets (rows that share an id); any one
-    # row of it is enough to place candidates, and those sets are one node.
-    registers = nodes.groupBy("node").agg(F.min(F.struct("n_shingles", "registers")).alias("s")).select("node", "s.*")
     member = bands(nodes).distinct()
     shared = member.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     member = stored(member.join(shared, "band"), "members")
+    # One document id may stand for several sets (rows that share an id); any one
+    # row of it is enough to place candidates, and those sets are one node.
+    registers = among(nodes.select("node", "n_shingles", "registers"), "node", member.select("node"))
+    registers = registers.groupBy("node").agg(F.min(F.struct("n_shingles", "registers")).alias("s")).select("node", "s.*")
+    registers = stored(registers, "registers")
 
     star = stored(member.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
     close = stored(likely(star, registers, similarity), "close")
@@ -354,5 +355,5 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
 
 def first_of_each(docs: DataFrame, shingle_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps."""
-    gone = near_duplicates(docs, shingle_words, num, den).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, shingle_words, num, den).where(~F.col("kept")).select("doc_id")
+    return without(docs, "doc_id", stored(gone, "gone"))
