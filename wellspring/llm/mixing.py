@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 
 BUCKETS = 1 << 13
 EVIDENCE = 32
@@ -158,7 +158,8 @@ def copies(rate: Column, key: Column) -> Column:
 
 def applied(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says."""
-    rates = rates.select(F.col("doc_id").alias("rated_id_"), F.col("rate").alias("rate_"))
-    rows = docs.join(rates, F.col("doc_id") == F.col("rated_id_"), "left")
-    n = copies(F.coalesce("rate_", F.lit(1.0)), F.col("doc_id"))
-    return rows.withColumn("copy_", F.explode(F.array_repeat(F.lit(0), n))).select(*(docs[c] for c in docs.columns))
+    key, rate, copy = (unused(docs, name) for name in ("rated_id", "rate", "copy"))
+    rates = rates.select(F.col("doc_id").alias(key), F.col("rate").alias(rate))
+    rows = docs.join(rates, docs["doc_id"] == F.col(key), "left")
+    n = copies(F.coalesce(rate, F.lit(1.0)), F.col("doc_id"))
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(0), n))).select(*docs.columns)
