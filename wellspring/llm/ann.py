@@ -5,16 +5,19 @@ nearest pivots in order. The index is cut into blocks of candidates; in each blo
 inverted file lists per pivot the vectors that have it among their nearest, with its
 place. A query block meets every candidate block: the lists of a query's own nearest
 pivots give the footrule distance (the sum of differences of places, a missing pivot
-counting as place ``PREFIX``) of all vectors in the block, the nearest ``SHARE`` of the
-block's distinct vectors by that distance are reranked by their true cosine, and the
-best ``k`` leave the task. The share does not depend on the size of the data, nor does
-recall.
+counting as place ``PREFIX``) of all vectors in the block; the nearest ``SHARE`` of the
+block's distinct vectors by that distance, and all within ``NEAR`` of the largest
+distance, are reranked by their true cosine, and the best ``k`` leave the task. The
+share does not depend on the size of the data, nor does recall; a dense group is
+reranked whole.
 
 Copies of one vector are one entry of an inverted file and carry their smallest ids, so
 they cannot crowd other vectors out.
 
-Pivots are a bounded sample: the first ``PIVOTS`` distinct vectors of each length by
-hash. More than ``MOST_LENGTHS`` lengths are an error.
+Pivots are chosen from a bounded sample, the first ``8 * PIVOTS`` distinct vectors of
+each length by hash: in that order, those that are not close to one chosen before, as
+pivots that lie together would fill every permutation nearby with one and the same
+run. More than ``MOST_LENGTHS`` lengths are an error.
 
 Odd rows: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without ``vec_id``. Vectors meet those of their own length only. A
@@ -33,7 +36,10 @@ from .blocks import CANDIDATES, finite, matrix, met, packed, query_blocks
 
 PIVOTS = 512
 PREFIX = 64
-SHARE = 0.08
+SHARE = 0.12
+NEAR = 0.5
+#: Cosine from which a vector is too close to a pivot to be one.
+CLOSE = 0.8
 #: Distinct vectors of a block that are reranked at least.
 LEAST = 64
 MOST_LENGTHS = 64
@@ -48,20 +54,35 @@ def usable(rows: DataFrame) -> DataFrame:
 
 def pivots(rows: DataFrame) -> dict[int, np.ndarray]:
     """The pivots of each vector length, scaled to length 1."""
+    drawn = rows.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("x"), F.lit(1 << 40)).alias("draw"), "x")
+    most = 8 * PIVOTS
+    sizes = drawn.groupBy("dim").agg(F.approx_count_distinct("draw").alias("n")).limit(MOST_LENGTHS + 1).collect()
+    if len(sizes) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    if not sizes:
+        return {}
+    share = F.create_map(*(F.lit(v) for r in sizes for v in (r["dim"], min(1.0, 1.5 * most / r["n"]))))
     draw = W.partitionBy("dim").orderBy("draw", "x")
     first = (
-        rows.select(F.size("x").alias("dim"), F.xxhash64("x").alias("draw"), "x")
+        drawn.where(F.col("draw") < share[F.col("dim")] * float(1 << 40))
         .groupBy("dim", "draw")
         .agg(F.min("x").alias("x"))
         .withColumn("n", F.row_number().over(draw))
-        .where(F.col("n") <= PIVOTS)
+        .where(F.col("n") <= most)
     )
     found: dict[int, list] = {}
-    for r in first.limit(PIVOTS * (MOST_LENGTHS + 1)).collect():
+    for r in sorted(first.collect(), key=lambda r: r["n"]):
         found.setdefault(r["dim"], []).append(r["x"])
-    if len(found) > MOST_LENGTHS:
-        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
-    return {dim: unit(np.array(sorted(x))) for dim, x in found.items()}
+    return {dim: apart(unit(np.array(x))) for dim, x in found.items()}
+
+
+def apart(x: np.ndarray) -> np.ndarray:
+    """The first ``PIVOTS`` rows that are not close to an earlier one of them."""
+    chosen = x[:1]
+    for row in x[1:]:
+        if len(chosen) < PIVOTS and (chosen @ row).max() < CLOSE:
+            chosen = np.vstack((chosen, row))
+    return chosen
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -121,13 +142,18 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                 by_entry = np.lexsort((other, entry.ravel()))
                 first = np.searchsorted(entry.ravel()[by_entry], np.arange(len(y) + 1))
                 lists = inverted(permutations(y, points[dim]), len(points[dim]))
+                largest = min(PREFIX, len(points[dim])) * (min(PREFIX, len(points[dim])) + 1)
                 few = min(len(y), max(LEAST, int(np.ceil(SHARE * len(y)))))
                 query, found, score = [], [], []
                 for i, order in enumerate(permutations(x, points[dim])):
-                    near = np.argpartition(footrule(order, *lists, len(y)), few - 1)[:few]
+                    apart_by = largest + footrule(order, *lists, len(y))
+                    limit = max(np.partition(apart_by, few - 1)[few - 1], NEAR * largest)
+                    near = np.flatnonzero(apart_by <= limit)
                     cosine = cosines(x[i], y[near])
                     # own rows fill one entry at most, so k + 1 entries, and ties, are enough
-                    near, cosine = (v[cosine >= -np.partition(-cosine, min(k, few - 1))[min(k, few - 1)]] for v in (near, cosine))
+                    at_k = min(k, len(near) - 1)
+                    best = cosine >= -np.partition(-cosine, at_k)[at_k]
+                    near, cosine = near[best], cosine[best]
                     taken = []
                     for c, e in zip(cosine, near, strict=True):
                         rows_of = by_entry[first[e] : first[e + 1]]
