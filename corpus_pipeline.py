@@ -30,13 +30,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return minhash.first_of_each(docs, 5, 80, 100)
 
 
+def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rates at which 97 % of the tokens are clean. A label counts for more than the
+    words; 256 words of evidence tell the other documents apart, so a rate near 0 is
+    left to those that are most likely toxic."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
+    labelled = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+    return mixing.mixed(docs, labelled, {"clean": 0.97, "toxic": 0.03}, evidence=256, known=True)[0]
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that 97 % of the tokens are expected to be
     clean, with as many tokens as before."""
-    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
-    labelled = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
-    rates, _ = mixing.mixed(docs, labelled, {"clean": 0.97, "toxic": 0.03})
-    return mixing.applied(docs, rates)
+    return mixing.applied(docs, mixing_rates(spark, docs, sf_dir))
 
 
 def segmentation_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

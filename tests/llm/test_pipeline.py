@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -58,3 +60,17 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
         if name == "language":
             assert {-1, -2, -5}.isdisjoint(r.doc_id for r in df.collect())
     assert df.count() > 0
+
+
+def test_mixing_keeps_clean_documents(spark, tmp_path):
+    """Labelled clean documents stay, and nearly all of those whose label is held out."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels").where("quality = 1")
+    labels.where("crc32(string(doc_id)) % 2 = 0").write.parquet(str(tmp_path / "labels.parquet"))
+    rates = {r.doc_id: r.rate for r in corpus_pipeline.mixing_rates(spark, docs, str(tmp_path)).collect()}
+    left = Counter(r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, str(tmp_path)).select("doc_id").collect())
+    clean = labels.where("toxic = 0").selectExpr("doc_id", "crc32(string(doc_id)) % 2 = 0 AS known").collect()
+    known, held = ([r.doc_id for r in clean if r.known == k] for k in (True, False))
+    assert all(rates[i] >= 1 and left[i] for i in known)
+    assert not any(rates[i] == 0 for i in held)
+    assert sum(left[i] == 0 for i in held) <= 0.1 * len(held)

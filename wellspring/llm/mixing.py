@@ -8,6 +8,11 @@ r n p[d] tokens to domain d. Rates r between 0 and ``most`` are fitted so that t
 totals match the target weights of ``epochs`` times all tokens, by projected gradient
 descent on the weighted squared error, beginning at the same rate for all.
 
+With little evidence a posterior stays near the prior, so a domain's tokens lie mostly
+in documents of other domains, and a small target takes those away too. ``evidence``
+sets how many words count; ``known`` gives a labelled document its label (several: their
+shares) instead of a posterior.
+
 The descent is distributed: a rate follows from the document's posterior and the
 gradients of the rounds so far, one number per domain and round, so a round is one sum
 over the documents and only those few numbers reach the driver. The error is weighted by
@@ -74,7 +79,7 @@ def classifier(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataFr
     return stored(everything.select("bucket", logs.alias("logs")).union(first), "classifier")
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataFrame:
+def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str], evidence: float = EVIDENCE) -> DataFrame:
     """(doc_id, tokens, posterior): one row per document id."""
     model = classifier(docs, labelled, names)
     priors = model.where("bucket is null").first()["logs"]
@@ -82,7 +87,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataFr
     # BUCKETS rows at most, whatever the input
     rows = worded(docs).join(F.broadcast(model.where("bucket is not null")), "bucket", "left")
     rows = rows.groupBy("doc_id").agg(F.count("bucket").alias("tokens"), F.array(*sums).alias("sums"))
-    scale = F.least(F.lit(1.0), F.lit(float(EVIDENCE)) / F.greatest("tokens", F.lit(1)))
+    scale = F.least(F.lit(1.0), F.lit(float(evidence)) / F.greatest("tokens", F.lit(1)))
     score = F.array(*(F.lit(p) + F.get("sums", F.lit(i)) * scale for i, p in enumerate(priors)))
     rows = rows.withColumn("score", score)
     raised = F.transform("score", lambda s: F.exp(s - F.array_max("score")))
@@ -91,6 +96,13 @@ def posteriors(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataFr
     return rows.select("doc_id", "tokens", F.array(*(F.get("raised", F.lit(i)) / total for i in range(len(names)))).alias("posterior"))
 
 
+def by_label(rows: DataFrame, labelled: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with the shares of its labels as posterior of a labelled document."""
+    shares = F.array(*(F.avg((F.col("domain") == d).cast("double")) for d in names))
+    own = labelled.groupBy("doc_id").agg(shares.alias("own"))
+    return rows.join(own, "doc_id", "left").select("doc_id", "tokens", F.coalesce("own", "posterior").alias("posterior"))
+
+
 def inverse(m: list[list[float]]) -> list[list[float]]:
     """Inverse of a small positive definite matrix by elimination."""
     n = len(m)
@@ -135,7 +147,8 @@ def rated(rows: DataFrame, targets: list[float], epochs: float, most: float) ->
     return rows.withColumn("rate", rate)
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epochs: float = 1.0, most: float = 4.0):
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epochs: float = 1.0, most: float = 4.0,
+          evidence: float = EVIDENCE, known: bool = False):
     """(rows, names): doc_id, tokens, posterior (in the order of ``names``), rate per
     document. ``labelled``: (doc_id, domain); rows with a null in either are not used."""
     labelled = labelled.where("doc_id is not null and domain is not null")
@@ -143,9 +156,13 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epoch
     if len(names) > MOST_DOMAINS:
         raise ValueError(f"more than {MOST_DOMAINS} domains")
     names.sort()
-    rows = stored(posteriors(docs, labelled, names), "posteriors") if names else docs.where("doc_id is not null").groupBy("doc_id").agg(
-        F.lit(0).cast("bigint").alias("tokens"), F.array().cast("array<double>").alias("posterior")
-    )
+    if names:
+        rows = posteriors(docs, labelled, names, evidence)
+        rows = stored(by_label(rows, labelled, names) if known else rows, "posteriors")
+    else:
+        rows = docs.where("doc_id is not null").groupBy("doc_id").agg(
+            F.lit(0).cast("bigint").alias("tokens"), F.array().cast("array<double>").alias("posterior")
+        )
     return rated(rows, [float(targets.get(d, 0.0)) for d in names], epochs, most), names
 
 
