@@ -32,11 +32,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates at which 97 % of the tokens are clean. A label counts for more than the
-    words; 256 words of evidence tell the other documents apart, so a rate near 0 is
-    left to those that are most likely toxic."""
+    words; 256 words of evidence tell the other documents apart, and those that are
+    more likely clean than toxic keep a rate of 1 at least."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labelled = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
-    return mixing.mixed(docs, labelled, {"clean": 0.97, "toxic": 0.03}, evidence=256, known=True)[0]
+    return mixing.mixed(docs, labelled, {"clean": 0.97, "toxic": 0.03}, evidence=256, known=True, keep="clean")[0]
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

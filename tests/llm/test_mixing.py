@@ -58,6 +58,34 @@ def test_rates_reach_the_targets(spark):
             assert np.abs(share - want).sum() < np.abs((p * n[:, None]).sum(0) / n.sum() - want).sum()
 
 
+def test_rates_settle_without_a_bound_above(spark):
+    """Targets that need rates of 0 and over 4 are met, and others as closely as can be."""
+    docs = spark.createDataFrame(made(), SCHEMA).repartition(4)
+    labelled = docs.where("doc_id % 2 = 0").select("doc_id", "domain")
+    for goal, can in (({"a": 0.05, "b": 0.05, "c": 0.9}, True), ({"a": 0.1, "b": 0.1, "c": 0.8}, True), ({"c": 1.0}, False)):
+        found, names = mixing.mixed(docs, labelled, goal)
+        got = found.collect()
+        n, p, rate = (np.array([r[c] for r in got], float) for c in ("tokens", "posterior", "rate"))
+        error = (p * (rate * n)[:, None]).sum(0) / n.sum() - [goal.get(d, 0.0) for d in names]
+        assert np.allclose(mixing.reached(found, 3), (p * (rate * n)[:, None]).sum(0) / n.sum())
+        assert (rate >= 0).all() and rate.max() > 4
+        if can:
+            assert np.abs(error).max() < 2e-6
+        weight = np.linalg.inv((p * n[:, None]).T @ p / n.sum() + 1e-9 * np.eye(3))
+        assert np.abs(np.where(rate > 0, p @ weight @ error, np.minimum(p @ weight @ error, 0))).max() < 1e-4
+
+
+def test_kept_domain_has_a_floor(spark):
+    docs = spark.createDataFrame(made(), SCHEMA)
+    found, names = mixing.mixed(docs, docs.select("doc_id", "domain"), {"a": 0.99, "b": 0.01}, keep="a")
+    for r in found.collect():
+        assert r.rate >= (1 if r.posterior[0] >= 0.5 else r.posterior[0])
+    known, _ = mixing.mixed(docs, docs.where("doc_id < 9").select("doc_id", "domain"), {"a": 0.9, "b": 0.1}, known=True)
+    first = {r.doc_id: r.posterior for r in known.where("doc_id < 9").collect()}
+    domains = sorted({r[4] for r in made()[:9]})
+    assert all(first[r[1]] == [float(r[4] == d) for d in domains] for r in made()[:9])
+
+
 def test_posteriors_equal_plain_naive_bayes(spark):
     rows = made(60, 3)
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -4,20 +4,30 @@ A naive Bayes classifier over hashed words is fitted on a labelled table and giv
 document a posterior over the domains. The evidence of a text is scaled to that of
 ``EVIDENCE`` words if it is longer, since its words do not speak independently. With
 n tokens and posterior p, a document read r times on average is expected to bring
-r n p[d] tokens to domain d. Rates r between 0 and ``most`` are fitted so that the
-totals match the target weights of ``epochs`` times all tokens, by projected gradient
-descent on the weighted squared error, beginning at the same rate for all.
+r n p[d] tokens to domain d. Rates r are fitted so that the totals match the target
+weights of ``epochs`` times all tokens: of the rates that do, those nearest to the same
+rate for all, none below 0 or, with ``keep``, below a floor.
 
 With little evidence a posterior stays near the prior, so a domain's tokens lie mostly
 in documents of other domains, and a small target takes those away too. ``evidence``
 sets how many words count; ``known`` gives a labelled document its label (several: their
 shares) instead of a posterior.
 
-The descent is distributed: a rate follows from the document's posterior and the
-gradients of the rounds so far, one number per domain and round, so a round is one sum
-over the documents and only those few numbers reach the driver. The error is weighted by
-the inverse of the domains' second moments, which makes a full step the exact solution
-as long as no rate meets a bound.
+Such a rate is a linear function of the document's posterior, cut off at the bound; its
+coefficients, one per domain, are the prices of the targets. Newton steps on the dual find
+them, each a sum over the documents of which only the totals and second moments reach the
+driver, until totals are ``CLOSE`` to the targets. Where no rates reach the targets, the
+proximal term (``FIRM``) leads to the totals with the least squared error, weighted by the
+inverse of the domains' second moments, and the rounds end when those totals stay. A
+first step is the exact solution as long as no rate meets a bound. The totals reached are
+logged, as a warning if they miss a target (also by :func:`reached`).
+
+With ``keep``, a document has at least its posterior of that domain as rate, and 1 if it
+belongs there more likely than not (times ``epochs`` below 1). A target that all floors
+together exceed is raised to them.
+
+An explicit bound ``most`` of the rates takes ``ROUNDS`` rounds of projected gradient
+descent on the same error instead; a miss is logged as well.
 
 Odd rows: null and empty texts have no tokens and the prior as posterior. Rows that
 share a ``doc_id`` are one document; rows without one are never fitted and get the
@@ -29,19 +39,26 @@ cannot be met. Other columns are not read.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, unused
 
+log = logging.getLogger(__name__)
+
 BUCKETS = 1 << 13
 EVIDENCE = 32
 LABELS = 20_000
 MOST_DOMAINS = 64
+#: Rounds of the descent that an explicit upper bound takes.
 ROUNDS = 25
 CLOSE = 1e-6
+#: Weight of the squared error against the distance from equal rates.
+FIRM = 1e8
 #: Words as counted and hashed here.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -117,7 +134,78 @@ def inverse(m: list[list[float]]) -> list[list[float]]:
     return [row[n:] for row in a]
 
 
-def rated(rows: DataFrame, targets: list[float], epochs: float, most: float) -> DataFrame:
+def fitted(rows: DataFrame, goal: list[float], second: list[list[float]], total: float, epochs: float, low: Column) -> Column:
+    """The rates of at least ``low`` nearest to ``epochs`` whose totals are ``goal``."""
+    n = len(goal)
+    p = [F.get("posterior", F.lit(i)) for i in range(n)]
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    second = np.array(second)
+
+    def free(prices):
+        return F.lit(float(epochs)) - reduce(lambda a, b: a + b, (x * float(c) for x, c in zip(p, prices, strict=True)))
+
+    def look(prices, base):
+        """(value, gradient and curvature of the dual less its proximal term, error)."""
+        some = rows.select("tokens", "posterior", free(prices).alias("free"), low.alias("low"))
+        some = some.select("*", F.greatest("free", "low").alias("rate"))
+        weight = F.when(F.col("free") > F.col("low"), F.col("tokens")).otherwise(0)
+        change = F.col("rate") - float(epochs)
+        value = F.sum(F.col("tokens") * (0.5 * change * change + (float(epochs) - F.col("free")) * F.col("rate")))
+        found = some.agg(value, *(F.sum(F.col("rate") * F.col("tokens") * x) for x in p), *(F.sum(weight * p[i] * p[j]) for i, j in pairs))
+        found = np.array(found.first(), float) / total
+        error = found[1 : n + 1] - goal
+        curve = np.zeros((n, n))
+        for (i, j), x in zip(pairs, found[n + 1 :], strict=True):
+            curve[i, j] = curve[j, i] = x
+        away = second @ (prices - base) / FIRM
+        return found[0] - prices @ goal - (prices - base) @ away / 2, error - away, curve + second / FIRM, error
+
+    base = prices = np.zeros(n)
+    before = None
+    while True:
+        value, slope, curve, error = look(prices, base)
+        while max(abs(error)) >= CLOSE and max(abs(slope)) >= CLOSE / 10:
+            step = np.linalg.lstsq(curve, slope, rcond=None)[0]
+            noise, part = 1e-12 * (1 + abs(value)), 1.0
+            if slope @ step <= noise:
+                break
+            found = look(prices + step, base)
+            while part > 1e-12 and found[0] < value + 1e-4 * part * (slope @ step) - noise:
+                part /= 4
+                found = look(prices + part * step, base)
+            if part <= 1e-12:
+                break
+            prices = prices + part * step
+            value, slope, curve, error = found
+        if max(abs(error)) < CLOSE or before is not None and max(abs(error - before)) < CLOSE:
+            return F.greatest(free(prices), low)
+        before, base = error, prices
+
+
+def descended(rows: DataFrame, goal: list[float], second: list[list[float]], total: float, epochs: float, most: float) -> Column:
+    """Rates of at most ``most`` after ``ROUNDS`` rounds of projected gradient descent."""
+    p = [F.get("posterior", F.lit(i)) for i in range(len(goal))]
+    weight = inverse(second)
+    rate = F.lit(float(min(epochs, most)))
+    for _ in range(ROUNDS):
+        found = rows.agg(*(F.sum(rate * F.col("tokens") * x) for x in p)).first()
+        error = [r / total - g for r, g in zip(found, goal, strict=True)]
+        if max(map(abs, error)) < CLOSE:
+            break
+        step = [sum(w * e for w, e in zip(row, error, strict=True)) for row in weight]
+        change = reduce(lambda a, b: a + b, (x * s for x, s in zip(p, step, strict=True)))
+        rate = F.least(F.greatest(rate - change, F.lit(0.0)), F.lit(float(most)))
+    return rate
+
+
+def reached(rows: DataFrame, n: int) -> list[float]:
+    """The totals of the ``n`` domains at the rates of ``rows``, as shares of all tokens."""
+    tokens = F.col("rate") * F.col("tokens")
+    found = rows.agg(F.sum("tokens"), *(F.sum(tokens * F.get("posterior", F.lit(i))) for i in range(n))).first()
+    return [x / found[0] for x in found[1:]] if found[0] else [0.0] * n
+
+
+def rated(rows: DataFrame, targets: list[float], epochs: float, most: float | None = None, keep: int | None = None) -> DataFrame:
     """``rows`` (doc_id, tokens, posterior) with ``rate``."""
     n = len(targets)
     p = [F.get("posterior", F.lit(i)) for i in range(n)]
@@ -133,22 +221,23 @@ def rated(rows: DataFrame, targets: list[float], epochs: float, most: float) ->
             second[i][j] = second[j][i] = next(found) / total
     for i in range(n):
         second[i][i] += 1e-9
-    weight = inverse(second)
     goal = [epochs * t / sum(targets) for t in targets]
-    rate = F.lit(float(min(epochs, most)))
-    for _ in range(ROUNDS):
-        reached = rows.agg(*(F.sum(rate * F.col("tokens") * x) for x in p)).first()
-        error = [r / total - g for r, g in zip(reached, goal, strict=True)]
-        if max(map(abs, error)) < CLOSE:
-            break
-        step = [sum(w * e for w, e in zip(row, error, strict=True)) for row in weight]
-        change = reduce(lambda a, b: a + b, (x * s for x, s in zip(p, step, strict=True)))
-        rate = F.least(F.greatest(rate - change, F.lit(0.0)), F.lit(float(most)))
-    return rows.withColumn("rate", rate)
+    low = F.lit(0.0)
+    if keep is not None:
+        low = F.when(p[keep] >= 0.5, 1.0).otherwise(p[keep]) * float(min(1.0, epochs))
+        least = reached(rows.withColumn("rate", low), n)
+        goal = [max(g, x) for g, x in zip(goal, least, strict=True)]
+        goal[keep] = epochs - sum(g for i, g in enumerate(goal) if i != keep)
+    rate = fitted(rows, goal, second, total, epochs, low) if most is None else descended(rows, goal, second, total, epochs, most)
+    rows = rows.withColumn("rate", rate)
+    shares = reached(rows, n)
+    miss = max(abs(x - g) for x, g in zip(shares, goal, strict=True))
+    log.log(logging.WARNING if miss >= CLOSE else logging.INFO, "mixing: totals %s for %s, off by up to %.3g", shares, goal, miss)
+    return rows
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epochs: float = 1.0, most: float = 4.0,
-          evidence: float = EVIDENCE, known: bool = False):
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epochs: float = 1.0, most: float | None = None,
+          evidence: float = EVIDENCE, known: bool = False, keep: str | None = None):
     """(rows, names): doc_id, tokens, posterior (in the order of ``names``), rate per
     document. ``labelled``: (doc_id, domain); rows with a null in either are not used."""
     labelled = labelled.where("doc_id is not null and domain is not null")
@@ -163,7 +252,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epoch
         rows = docs.where("doc_id is not null").groupBy("doc_id").agg(
             F.lit(0).cast("bigint").alias("tokens"), F.array().cast("array<double>").alias("posterior")
         )
-    return rated(rows, [float(targets.get(d, 0.0)) for d in names], epochs, most), names
+    return rated(rows, [float(targets.get(d, 0.0)) for d in names], epochs, most, names.index(keep) if keep in names else None), names
 
 
 def copies(rate: Column, key: Column) -> Column:
