@@ -78,5 +78,33 @@ def test_empty_null_and_repeated_rows(spark):
     assert got == sorted([(None, 1, None, True), (7, 1, 7, True), (7, 1, 7, True), (9, 0, 9, True), (8, 1, 7, False)], key=str)
 
 
+def test_one_id_with_two_texts(spark, monkeypatch):
+    """All sets of a document take part, and hold its component together."""
+    rng = random.Random(8)
+    rows = [(rng.randrange(120), t) for _, t in corpus()]
+    sets, ids = [shingles(t, 3) for _, t in rows], sorted({i for i, _ in rows})
+    links = [
+        (rows[x][0], rows[y][0]) for x in range(len(rows)) for y in range(x)
+        if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y])
+    ]
+    # All rows, and few enough for several components.
+    some = [k for k, (i, _) in enumerate(rows) if i < 12 or i > 112]
+    for part, block in ((range(len(rows)), 1024), (some, 4)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        mine = [rows[k] for k in part]
+        want = {i: i for i, _ in mine}
+        for _ in ids:
+            for a, b in links:
+                if a in want and b in want:
+                    want[a] = want[b] = min(want[a], want[b])
+        got = minhash.near_duplicates(spark.createDataFrame(mine, "doc_id bigint, text string").repartition(3), 3, 85, 100).collect()
+        assert len(got) == len(mine)
+        assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(i, m, i == m) for i, m in want.items()}
+    s1, s2 = ("alpha beta gamma delta epsilon " * 2, " ".join(f"w{i}" for i in range(60)))
+    rows = [(5, s1), (5, s2), (5, ""), (9, s2 + " more"), (2, None), (7, s1.upper())]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85, 100).collect()}
+    assert got == {(5, 5), (9, 5), (7, 5), (2, 2)}
+
+
 def test_query_agrees_with_sql(same):
     same("op1_minhash")

@@ -24,7 +24,8 @@ of a bucket is thus either judged or already in one component.
 
 Nulls and odd rows: a text without words (or null) has no shingles and links with
 nothing; a null ``doc_id`` gets a null component and is kept; rows that share a
-``doc_id`` count as one document. Other columns are not read.
+``doc_id`` count as one document, whose sets are linked with each other whether they
+are alike or not. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -110,19 +111,25 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, hashes): the whole sets, eight bytes per shingle, sorted."""
+    """(set_key, hashes): the whole sets, eight bytes per shingle, sorted; equal sets
+    once per task."""
 
     def run(batches):
         sketch = Sketcher(shingle_words)
+        seen = set()
         for batch in batches:
-            for row, data, offsets in text_slices(batch.column(1)):
-                sets = [s.tobytes() for s in sketch.sets(data, offsets)]
+            for _, data, offsets in text_slices(batch.column(0)):
+                new = {}
+                for s in sketch.sets(data, offsets):
+                    key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                    if len(s) and key not in seen:
+                        seen.add(key)
+                        new[key] = s.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), pa.array(sets, pa.binary())], names=["doc_id", "hashes"]
+                    [pa.array(list(new), pa.binary()), pa.array(list(new.values()), pa.binary())], names=["set_key", "hashes"]
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, hashes binary")
+    return docs.select("text").mapInArrow(run, "set_key binary, hashes binary")
 
 
 def register_rows(column: pa.Array) -> np.ndarray:
@@ -197,11 +204,14 @@ def likely(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     return joined.select("a", "b", "n_a", "r_a", "n_b", "r_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
-    """Pairs with den * |intersection| >= num * |union| on the full sets."""
-    some = among(docs.select("doc_id", "text"), "doc_id", pairs.select(F.explode(F.array("a", "b"))))
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
+    """Pairs with den * |intersection| >= num * |union| on the full sets. ``nodes``:
+    (node, set_key, doc_id), the last being a document that has the set."""
+    key = lambda x: nodes.select(F.col("node").alias(x), F.col("set_key").alias(f"k_{x}"), F.col("doc_id").alias(f"d_{x}"))
+    keyed = stored(pairs.join(key("a"), "a").join(key("b"), "b"), "keyed")
+    some = among(docs.select("doc_id", "text"), "doc_id", keyed.select(F.explode(F.array("d_a", "d_b"))))
     sets = stored(shingle_sets(some, shingle_words), "sets")
-    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"h_{x}"))
+    side = lambda x: sets.select(F.col("set_key").alias(f"k_{x}"), F.col("hashes").alias(f"h_{x}"))
 
     def run(batches):
         for batch in batches:
@@ -213,7 +223,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, num: int, de
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = keyed.join(side("b"), "k_b").join(side("a"), "k_a")
     return joined.select("a", "b", "h_a", "h_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
@@ -244,12 +254,11 @@ def across(rows: DataFrame, registers: DataFrame, similarity: float) -> DataFram
             for band, same, x, y in zip(*(batch.column(i) for i in range(4)), strict=True):
                 node, component, n, regs, keys = columns(x.values)
                 node2, component2, n2, regs2, keys2 = columns(y.values)
-                k = int(np.flatnonzero(keys[0] == band.as_py())[0])
                 for i in range(len(node)):
                     start = i + 1 if same.as_py() else 0
                     other = start + np.flatnonzero(component2[start:] != component[i])
                     if len(other):
-                        other = other[(keys2[other] == keys[i]).argmax(axis=1) == k]
+                        other = other[keys[i][(keys2[other] == keys[i]).argmax(axis=1)] == band.as_py()]
                         other = other[plausible(regs2[other], regs[i], n2[other], np.full(len(other), n[i]), similarity)]
                         for j in other:
                             low.append(min(node[i], node2[j]))
@@ -311,40 +320,50 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         sketch.where("set_key is not null and doc_id is not null")
         .groupBy("set_key")
         .agg(F.min(F.struct("doc_id", "n_shingles", "registers")).alias("s"))
-        .select("set_key", F.col("s.doc_id").alias("node"), "s.n_shingles", "s.registers"),
+        .select(F.monotonically_increasing_id().alias("node"), "set_key", "s.*"),
         "nodes",
     )
+    # Documents with several sets (rows that share an id), and those with a set and an empty text.
+    several = stored(
+        sketch.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.min("set_key").alias("first_key"), F.max("set_key").alias("last_key"), F.count_if(F.col("set_key").isNull()).alias("n"))
+        .where("first_key <> last_key or n > 0 and first_key is not null")
+        .select("doc_id", "first_key"),
+        "several",
+    )
+    key = lambda x, c: nodes.select(F.col("set_key").alias(c), F.col("node").alias(x))
+    own = sketch.select("doc_id", "set_key").join(several, "doc_id").where("set_key <> first_key").select("first_key", "set_key").distinct()
+    own = own.join(key("a", "first_key"), "first_key").join(key("b", "set_key"), "set_key").select("a", "b")
     member = bands(nodes).distinct()
     shared = member.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     member = stored(member.join(shared, "band"), "members")
-    # One document id may stand for several sets (rows that share an id); any one
-    # row of it is enough to place candidates, and those sets are one node.
-    registers = among(nodes.select("node", "n_shingles", "registers"), "node", member.select("node"))
-    registers = registers.groupBy("node").agg(F.min(F.struct("n_shingles", "registers")).alias("s")).select("node", "s.*")
-    registers = stored(registers, "registers")
+    registers = stored(among(nodes.select("node", "n_shingles", "registers"), "node", member.select("node")), "registers")
 
     star = stored(member.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
     close = stored(likely(star, registers, similarity), "close")
-    links = stored(verified(close, docs, shingle_words, num, den), "confirmed")
+    links = stored(verified(close, docs, nodes, shingle_words, num, den).union(own), "confirmed")
     # Second round: buckets that still hold several components.
     known = components(links)
     placed = member.join(known, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    several = (
+    open_bands = (
         placed.groupBy("band")
         .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
         .select("band", F.ceil(F.col("n") / BLOCK).alias("parts"))
     )
-    open_rows = stored(placed.join(several, "band"), "open")
+    open_rows = stored(placed.join(open_bands, "band"), "open")
     found = across(open_rows, registers, similarity).distinct().join(star, ["a", "b"], "left_anti")
-    more = stored(verified(stored(found, "pairs"), docs, shingle_words, num, den), "confirmed")
+    more = stored(verified(stored(found, "pairs"), docs, nodes, shingle_words, num, den), "confirmed")
     known = components(links.union(more))
-    placed = (
-        sketch.select("doc_id", "n_shingles", "set_key")
-        .join(nodes.select("set_key", "node"), "set_key", "left")
-        .join(known, "node", "left")
-    )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    # The least document of every component, for each set.
+    label = nodes.select("node", "set_key", "doc_id").join(known, "node", "left")
+    label = label.select("set_key", "doc_id", F.coalesce("component", "node").alias("component"))
+    least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    label = label.join(least, "component").select(F.col("set_key").alias("key"), "component_id")
+    placed = sketch.select("doc_id", "n_shingles", "set_key").join(several, "doc_id", "left")
+    placed = placed.withColumn("key", F.coalesce("set_key", "first_key")).join(label, "key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return placed.select(
         "doc_id",
         "n_shingles",
