@@ -106,5 +106,20 @@ def test_one_id_with_two_texts(spark, monkeypatch):
     assert got == {(5, 5), (9, 5), (7, 5), (2, 2)}
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows of one id and rows without an id are copies as well."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, "x y z"), (3, "x y z"), (3, "X  y z"), (None, "x y z"), (None, long), (None, long), (None, long + " more")]
+    rows += [(None, ""), (None, None), (4, None), (4, None), (6, "p q"), (6, "p q r s"), (None, "alone"), (8, "p q")]
+    df = spark.createDataFrame([(t, i, "c", 1, "n") for i, t in rows], SCHEMA).repartition(4)
+    kept = minhash.first_of_each(df, 5, 80, 100)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, " ".join((r.text or "").lower().split())) for r in kept.collect()), key=str)
+    text = next(t for i, t in got if i is None and t.startswith("w0"))
+    assert text in (long, long + " more")
+    want = [(3, "x y z"), (None, text), (None, ""), (None, ""), (4, ""), (6, "p q r s"), (None, "alone")]
+    assert got == sorted(want, key=str)
+
+
 def test_query_agrees_with_sql(same):
     same("op1_minhash")

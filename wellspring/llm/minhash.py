@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, among, mix, shingle_hashes, stored, text_slices, without
+from .common import Words, among, mix, shingle_hashes, stored, text_slices, unused, without
 
 BUCKET_BITS = 9
 BUCKETS = 1 << BUCKET_BITS
@@ -373,6 +373,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
 
 
 def first_of_each(docs: DataFrame, shingle_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps."""
-    gone = near_duplicates(docs, shingle_words, num, den).where(~F.col("kept")).select("doc_id")
-    return without(docs, "doc_id", stored(gone, "gone"))
+    """One row of each group of near duplicates in ``docs``.
+
+    It is a row of the least document that :func:`near_duplicates` keeps; of several
+    rows with that id, the one with the longest text. Rows without an id are a document
+    per distinct text here, after all ids; those without words all stay.
+    """
+    name = unused(docs, "document")
+    missing = F.col("doc_id").isNull()
+    text = F.when(missing, F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = docs.withColumn(name, F.struct(missing.alias("missing"), F.col("doc_id").alias("id"), text.alias("digest")))
+    found = near_duplicates(keyed.select(F.col(name).alias("doc_id"), "text"), shingle_words, num, den)
+    found = stored(found.select("doc_id", "n_shingles", "kept"), "found")
+    gone = found.where(~F.col("kept")).select("doc_id")
+    again = found.where(F.col("kept") & (~F.col("doc_id.missing") | (F.col("n_shingles") > 0)))
+    again = stored(again.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    rows = without(keyed, name, gone)
+    longest = F.max_by(F.struct(*(docs[c] for c in docs.columns)), F.struct(F.length("text"), F.col("text")))
+    one = among(rows, name, again).groupBy(name).agg(longest.alias("row")).select("row.*")
+    return without(rows, name, again).select(*docs.columns).union(one)
