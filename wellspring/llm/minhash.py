@@ -143,22 +143,19 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 
 def bands(nodes: DataFrame) -> DataFrame:
-    """(band, node): one row per band of each node's registers."""
+    """(band, node, doc_id): one row per band of each node's registers."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 values = band_keys(register_rows(batch.column(1)))
+                rows = pa.array(np.repeat(np.arange(len(values)), BANDS))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(values.ravel()),
-                        batch.column(0).take(pa.array(np.repeat(np.arange(len(values)), BANDS))),
-                    ],
-                    names=["band", "node"],
+                    [pa.array(values.ravel()), batch.column(0).take(rows), batch.column(2).take(rows)], names=["band", "node", "doc_id"]
                 )
 
-    kind = nodes.schema["node"].dataType.simpleString()
-    return nodes.select("node", "registers").mapInArrow(run, f"band bigint, node {kind}")
+    kind, id_kind = (nodes.schema[c].dataType.simpleString() for c in ("node", "doc_id"))
+    return nodes.select("node", "registers", "doc_id").mapInArrow(run, f"band bigint, node {kind}, doc_id {id_kind}")
 
 
 def chance_agreement(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -209,7 +206,8 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words:
     (node, set_key, doc_id), the last being a document that has the set."""
     key = lambda x: nodes.select(F.col("node").alias(x), F.col("set_key").alias(f"k_{x}"), F.col("doc_id").alias(f"d_{x}"))
     keyed = stored(pairs.join(key("a"), "a").join(key("b"), "b"), "keyed")
-    some = among(docs.select("doc_id", "text"), "doc_id", keyed.select(F.explode(F.array("d_a", "d_b"))))
+    ids = stored(keyed.select("d_a").distinct().union(keyed.select("d_b").distinct()).distinct(), "ids")
+    some = among(docs.select("doc_id", "text"), "doc_id", ids)
     sets = stored(shingle_sets(some, shingle_words), "sets")
     side = lambda x: sets.select(F.col("set_key").alias(f"k_{x}"), F.col("hashes").alias(f"h_{x}"))
 
@@ -335,9 +333,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
     key = lambda x, c: nodes.select(F.col("set_key").alias(c), F.col("node").alias(x))
     own = sketch.select("doc_id", "set_key").join(several, "doc_id").where("set_key <> first_key").select("first_key", "set_key").distinct()
     own = own.join(key("a", "first_key"), "first_key").join(key("b", "set_key"), "set_key").select("a", "b")
-    member = bands(nodes).distinct()
-    shared = member.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    member = stored(member.join(shared, "band"), "members")
+    # The star's middle is of the least document, so that few nodes are in several stars.
+    member = bands(nodes)
+    shared = member.groupBy("band").agg(F.min(F.struct("doc_id", "node")).alias("least"), F.count(F.lit(1)).alias("n"))
+    shared = shared.where("n > 1").select("band", F.col("least.node").alias("a"))
+    member = stored(member.select("band", "node").join(shared, "band"), "members")
     registers = stored(among(nodes.select("node", "n_shingles", "registers"), "node", member.select("node")), "registers")
 
     star = stored(member.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
@@ -353,7 +353,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         .select("band", F.ceil(F.col("n") / BLOCK).alias("parts"))
     )
     open_rows = stored(placed.join(open_bands, "band"), "open")
-    found = across(open_rows, registers, similarity).distinct().join(star, ["a", "b"], "left_anti")
+    judged = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = across(open_rows, registers, similarity).distinct().join(judged, ["a", "b"], "left_anti")
     more = stored(verified(stored(found, "pairs"), docs, nodes, shingle_words, num, den), "confirmed")
     known = components(links.union(more))
     # The least document of every component, for each set.
