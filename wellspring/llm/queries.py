@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, lengths, minhash, mixing, pieces, quality, topk, warc
+from . import ann, chat, langid, lengths, merkle, minhash, mixing, pieces, quality, topk, warc
 from .common import crc_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,3 +208,81 @@ def op7_mixing(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     """Token totals of all documents for every context limit."""
     return lengths.limits(stored(lengths.histogram(table(spark, sf_dir, "documents")), "lengths"))
+
+
+@query
+def op11_merkle(spark, sf_dir):
+    """Merkle manifest of the documents, a tree per language, and proofs checked
+    against documents of which every seventh is changed."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    chars = F.col("n_chars").cast("decimal(20,0)")  # beyond 64 bits no error
+    found = merkle.manifest(
+        docs, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"n_chars": F.when(changed, chars + 1).otherwise(chars)}
+    )
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLES["op11_merkle"] = """
+WITH RECURSIVE given AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') AS id, coalesce(strlen(source) || ':' || source, '-') AS src,
+    coalesce(strlen(lang) || ':' || lang, '-') AS lng, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+    coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-') AS more,
+    coalesce(strlen(text) || ':' || text, '-') AS txt, coalesce('1' || lang, '0') AS tree
+  FROM documents),
+{crc},
+hashed AS (
+  SELECT doc_id, tree, sha256(id || src || lng || chars || txt) AS leaf,
+    sha256(id || src || lng || CASE WHEN crc % 7 = 0 THEN more ELSE chars END || txt) AS other
+  FROM given LEFT JOIN crcs USING (doc_id)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed),
+nodes(tree, level, place, n, node) AS (
+  SELECT tree, 0, place, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (n + 1) // 2, h FROM (
+    SELECT tree, level, place, n, sha256(node || coalesce(lead(node) OVER (PARTITION BY tree, level ORDER BY place), '')) AS h
+    FROM nodes WHERE n > 1)
+  WHERE place % 2 = 0),
+subroots AS (
+  SELECT tree, node AS subroot, level AS height, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops(level, place, n, node) AS (
+  SELECT 0, place, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (n + 1) // 2, h FROM (
+    SELECT level, place, n, sha256(node || coalesce(lead(node) OVER (PARTITION BY level ORDER BY place), '')) AS h FROM tops WHERE n > 1)
+  WHERE place % 2 = 0),
+every AS (
+  SELECT tree, level, place, n, node FROM nodes WHERE n > 1
+  UNION ALL SELECT '', level, place, n, node FROM tops WHERE n > 1),
+steps AS (
+  SELECT l.doc_id, l.leaf, e.level AS step, l.place // (1::BIGINT << e.level) AS spot, b.node AS beside
+  FROM leaves l JOIN every e ON e.tree = l.tree AND e.place = l.place // (1::BIGINT << e.level)
+  LEFT JOIN every b ON b.tree = e.tree AND b.level = e.level AND b.place = xor(e.place, 1)
+  UNION ALL
+  SELECT l.doc_id, l.leaf, s.height + e.level, s.place // (1::BIGINT << e.level), b.node
+  FROM leaves l JOIN subroots s USING (tree) JOIN every e ON e.tree = '' AND e.place = s.place // (1::BIGINT << e.level)
+  LEFT JOIN every b ON b.tree = '' AND b.level = e.level AND b.place = xor(e.place, 1)),
+folds(doc_id, leaf, step, node) AS (
+  SELECT doc_id, leaf, 0, other FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.step + 1, sha256(CASE WHEN beside IS NULL THEN node WHEN spot % 2 = 1 THEN beside || node ELSE node || beside END)
+  FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.leaf = f.leaf AND s.step = f.step),
+folded AS (SELECT doc_id, leaf, arg_max(node, step) AS folded_root FROM folds GROUP BY doc_id, leaf),
+proofs AS (SELECT doc_id, leaf, string_agg(beside, '' ORDER BY step) AS proof FROM steps GROUP BY doc_id, leaf)
+SELECT l.doc_id, l.leaf, subroot, node AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = node AS verified
+FROM leaves l JOIN subroots USING (tree) CROSS JOIN (SELECT node FROM tops WHERE n = 1)
+JOIN folded f ON f.doc_id = l.doc_id AND f.leaf = l.leaf LEFT JOIN proofs p ON p.doc_id = l.doc_id AND p.leaf = l.leaf
+""".replace(
+    "{crc}",
+    """crc_bits(doc_id, rest, crc, bit) AS (
+  SELECT DISTINCT doc_id, doc_id::VARCHAR, 4294967295::BIGINT, 8 FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, CASE WHEN bit = 8 THEN substr(rest, 2) ELSE rest END,
+    CASE WHEN bit = 8 THEN xor(crc, ascii(rest)) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END,
+    CASE WHEN bit = 8 THEN 0 ELSE bit + 1 END
+  FROM crc_bits WHERE bit < 8 OR rest <> ''),
+crcs AS (SELECT doc_id, xor(crc, 4294967295) AS crc FROM crc_bits WHERE bit = 8 AND rest = '')""",
+)
