@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, lengths, merkle, minhash, mixing, pieces, quality, topk, warc
+from . import ann, chat, decontaminate, langid, lengths, merkle, minhash, mixing, negatives, pieces, quality, topk, warc
 from .common import crc_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,3 +286,69 @@ JOIN folded f ON f.doc_id = l.doc_id AND f.leaf = l.leaf LEFT JOIN proofs p ON p
   FROM crc_bits WHERE bit < 8 OR rest <> ''),
 crcs AS (SELECT doc_id, xor(crc, 4294967295) AS crc FROM crc_bits WHERE bit = 8 AND rest = '')""",
 )
+
+
+@query
+def op13_decontaminate(spark, sf_dir):
+    """Benchmark passages of 10 words in every document."""
+    found = decontaminate.benchmark_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op13_decontaminate"] = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+asked AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM asked WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, i, p.n, item_id FROM places JOIN phrases p ON p.n = places.n AND p.phrase = array_to_string(w[i:i + places.n - 1], ' ')),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hits), range(10) r(k) WHERE k < n GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 50th vector, among vectors with some labels changed."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
