@@ -643,3 +643,18 @@ ORACLES["stream_ingest"] = landed_chain.end(
     f"""SELECT 'WQP' AS DataSource, SampleId, StationId, Param, {rounded('ResultValue', 4)} AS ResultValue, Unit, SampleDate, ResultComment FROM ruled
 UNION ALL SELECT NULL, SampleId, NULL, Param, ResultValue, Unit, NULL, NULL FROM derived"""
 )
+
+# --- the jobs over stored tables -------------------------------------------------------
+
+SPLIT_FIELDS = (
+    "SampleId", "StationId", "Param", "ResultValue", "Unit", "DetectCond", "SampleDate", "SampleTime", "SampMedia", "MDL", "LabName", "ProjectId", "IdNum",
+)
+ORACLES["read_split_csv"] = Sql(raw=V.RAW_RESULTS).end("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in SPLIT_FIELDS) + " FROM raw")
+ORACLES["stored_keys"] = db.end(
+    f"""SELECT DISTINCT SampleId, strftime(SampleDate, '%Y-%m-%d') AS SampleDate, Param FROM stored
+WHERE SampleId IN (SELECT SampleId FROM extract WHERE SampleDate > '{SINCE}')"""
+)
+ORACLES["stored_after_failure"] = ORACLES["stored_results"]
+ORACLES["seed_job"] = ORACLES["seed_all"]
+ORACLES["update_job_wqp"] = ORACLES["update_wqp"]
+ORACLES["update_job_sdwis"] = ORACLES["update_sdwis"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspring import sinks, sqlcsv
+from wellspring import keyindex, ledger, sinks, sqlcsv
 from wellspring.model import schema as S
 from wellspring.operators import balance, columns, dedupe, incremental, normalize, spatial
 from wellspring.plans import jobs, loads
@@ -648,12 +648,16 @@ def query_csv_statements(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    """The landed extract taken as a file stream, less the stored samples."""
+    """The landed extract taken as a file stream, less the stored samples. The files
+    differ in the order of their columns."""
     base = scratch_dir(spark, "stream")
     source_names = {new: old for old, new in S.WQP_RESULT_COLUMNS.items()}
     landed = V.view(spark, sf, V.LANDED).withColumnsRenamed(source_names)
     # A sample's rows must arrive together for its balance.
-    write_csv(landed.repartition("ActivityIdentifier"), f"{base}/landing")
+    landed = landed.repartition("ActivityIdentifier")
+    other = F.crc32("ActivityIdentifier") % 2 == 0
+    write_csv(landed.where(other), f"{base}/landing")
+    write_csv(landed.where(~other).select(*reversed(landed.columns)), f"{base}/landing", "append")
     read, append = streaming.parquet_target(spark, f"{base}/results")
     stored = V.view(spark, sf, V.STORED_LANDED)
     streaming.ingest(
@@ -665,3 +669,95 @@ def stream_ingest(spark, sf):
         V.as_of(),
     )
     return flat(read().select("DataSource", "SampleId", "StationId", "Param", "ResultValue", "Unit", "SampleDate", "ResultComment"), 4)
+
+
+# --- the jobs over stored tables -------------------------------------------------------
+
+
+def _land(df: DataFrame, mapping, folder: str, by: str | None = None) -> None:
+    """An extract as one CSV file, or one per value of ``by``, which its name replaces."""
+    landed = df.withColumnsRenamed({new: old for old, new in mapping.items()})
+    parts = [landed.where(F.col(by) == r[0]).drop(by) for r in landed.select(by).distinct().collect()] if by else [landed]
+    for part in parts:
+        write_csv(part.coalesce(1), folder, "append")
+
+
+@query
+def read_split_csv(spark, sf):
+    """One large file whose fields hold line breaks, read by several tasks."""
+    root = scratch_dir(spark, "landed")
+    _land(raw_results(spark, sf).drop("source_file"), S.WQP_RESULT_COLUMNS, f"{root}/WQP/Results")
+    return _no_blanks(wqp.read_results(spark, root).drop("source_file"))
+
+
+@query
+def stored_keys(spark, sf):
+    """Stored keys of the given samples, found by the index over two loads."""
+    db = _database(spark)
+    stored = V.view(spark, sf, V.STORED_SDWIS)
+    early = F.col("SampleDate") < F.lit("1994-01-01").cast("date")
+    for part in (stored.where(early), stored.where(~early)):
+        sinks.append_results(part, db)
+    asked = sdwis.sample_ids(V.sdwis_tables(spark, sf), SINCE).where("SampleId IS NOT NULL")
+    return flat(keyindex.stored_keys(spark, db, asked))
+
+
+@query
+def stored_after_failure(spark, sf):
+    """A load that ends before it is entered in the ledger, and its repetition."""
+    db = _database(spark)
+    rows = detail(spark, sf)
+    sinks._write(sinks._numbered(rows, db, sinks.RESULTS), db, sinks.RESULTS, "lost")
+    for _ in range(2):  # the second is known to be done
+        sinks.append(spark, db, results=rows, task="seed")
+    return _results(spark.table(sinks.table(db, sinks.RESULTS)))
+
+
+@query
+def seed_job(spark, sf):
+    """All five sources seeded by the job from landed files, exports and the database."""
+    db, root = _database(spark), scratch_dir(spark, "landed")
+    _land(raw_results(spark, sf), S.WQP_RESULT_COLUMNS, f"{root}/WQP/Results", "source_file")
+    _land(raw_stations(spark, sf).drop("Id"), S.WQP_STATION_COLUMNS, f"{root}/WQP/Stations", "source_file")
+    for program in exported.PROGRAMS.values():
+        V.view(spark, sf, V.EXPORTED_STATIONS).write.parquet(f"{root}/{program.name}/{program.station_table}.parquet")
+        V.view(spark, sf, V.EXPORTED_RESULTS).write.parquet(f"{root}/{program.name}/{program.result_table}.parquet")
+    jobs.seed(spark, db, None, root, V.sdwis_tables(spark, sf), V.as_of())
+    return spark.table(sinks.table(db, sinks.RESULTS)).groupBy("DataSource").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("ResultValue").alias("n_values"), F.countDistinct("SampleId").alias("n_samples")
+    )
+
+
+def _updated(spark, db: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Stations and results that an update brings; a second one brings none."""
+    import datetime
+
+    first = [ledger.next_id(spark, db, name) for name in (sinks.STATIONS, sinks.RESULTS)]
+    for _ in range(2):
+        jobs.update(spark, db, today=datetime.date(2024, 1, 1), as_of=V.as_of(), **options)
+    tables = (spark.table(sinks.table(db, name)) for name in (sinks.STATIONS, sinks.RESULTS))
+    return tuple(t.where(F.col("Id") >= n) for t, n in zip(tables, first, strict=True))
+
+
+def _wqp_job(spark, sf):
+    db, root = _database(spark), scratch_dir(spark, "landed")
+    sinks.append_stations(V.view(spark, sf, V.STORED_STATIONS), db)
+    sinks.append_results(V.view(spark, sf, V.STORED_RESULTS), db)
+    _land(raw_results(spark, sf).drop("source_file"), S.WQP_RESULT_COLUMNS, f"{root}/WQP/Results")
+    _land(raw_stations(spark, sf).drop("Id", "source_file"), S.WQP_STATION_COLUMNS, f"{root}/WQP/Stations")
+    return _updated(spark, db, sources="WQP", root=root)
+
+
+@query
+def update_job_wqp(spark, sf):
+    """The update of stored tables from landed files, by ledger and key index."""
+    return _results(_wqp_job(spark, sf)[1])
+
+
+@query
+def update_job_sdwis(spark, sf):
+    """The same from the database."""
+    db = _database(spark)
+    sinks.append_stations(V.view(spark, sf, V.STORED_SDWIS_STATIONS), db)
+    sinks.append_results(V.view(spark, sf, V.STORED_SDWIS), db)
+    return _results(_updated(spark, db, sources="SDWIS", sdwis_tables=V.sdwis_tables(spark, sf))[1])

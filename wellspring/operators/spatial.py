@@ -131,13 +131,17 @@ def locate_counties(points: DataFrame, counties: DataFrame, key: str = "Id", siz
     )
 
 
+def lacks_county() -> Column:
+    return F.col("StateCode").isNull() | F.col("CountyCode").isNull()
+
+
 def fill_county(stations: DataFrame, counties: DataFrame, key: str = "Id", size: float = COUNTY_CELL) -> DataFrame:
     """Set StateCode and CountyCode of stations that lack either one.
 
     Both codes are replaced, by NULL when no county holds the point. Other
     stations stay as they are.
     """
-    lacking = F.col("StateCode").isNull() | F.col("CountyCode").isNull()
+    lacking = lacks_county()
     points = stations.where(lacking & F.col("Lon_X").isNotNull() & F.col("Lat_Y").isNotNull()).select(
         key,
         western(F.col("Lon_X")).alias("lon"),

@@ -43,16 +43,21 @@ def wqp_update(
     tables: Tables = Tables(),
     in_box: bool = True,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    since: datetime.date | None = None,
+    known: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Load:
     """Samples not stored yet, from the latest stored day on, and the stations
     they need. ``stations`` and ``results`` are landed extracts. ``stage`` may store
-    the new results, which stations, details and balances are all derived from."""
-    since = watermark(stored_results, wqp.TAG)
+    the new results, which stations, details and balances are all derived from.
+
+    ``since`` is the latest stored day, ``known`` gives the stored keys of the samples
+    in some rows; without them ``stored_results`` is read for both."""
+    since = since or watermark(stored_results, wqp.TAG)
     results = wqp.results_window(results, since, today or datetime.date.today())
     if in_box:
         stations = wqp.stations_in_box(stations)
         results = dedupe.keep_known(results, stations, "StationId")
-    fresh = stage(dedupe.new_results_by_sample(results, stored_results))
+    fresh = stage(dedupe.new_results_by_sample(results, known(results) if known else stored_results))
     ids = dedupe.remove_stored_twins(dedupe.new_station_ids(fresh, stored_stations), stored_stations)
     batch = dedupe.drop_twins(dedupe.stations_by_id(stations, ids))
     return Load(
@@ -78,6 +83,8 @@ def sdwis_update(
     tables: Tables = Tables(),
     balance: bool = False,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    since: datetime.date | None = None,
+    known: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Load:
     """Results after the latest stored day whose (day, sample, parameter) is new,
     and the stations they need.
@@ -85,9 +92,11 @@ def sdwis_update(
     An update handles one parameter at a time, so by default it derives no
     balance; ``balance=True`` derives it per sample from the new rows. Rows
     without a sample id or parameter cannot be looked up by key and are left out.
+    ``since`` and ``known`` as in :func:`wqp_update`.
     """
-    since = watermark(stored_results, sdwis.TAG)
-    fresh = stage(sdwis.results(source, since, stored_results).where(F.col("SampleId").isNotNull() & F.col("Param").isNotNull()))
+    since = since or watermark(stored_results, sdwis.TAG)
+    stored = known(sdwis.sample_ids(source, since)) if known else stored_results
+    fresh = stage(sdwis.results(source, since, stored).where(F.col("SampleId").isNotNull() & F.col("Param").isNotNull()))
     ids = dedupe.new_station_ids(fresh.select(F.col("StationId").cast("string")), stored_stations)
     return Load(
         transform_stations(sdwis.stations(source, ids), sdwis.TAG, as_of, tables),

@@ -2,11 +2,12 @@
 
 Three properties of real extracts matter here: files of one folder may order
 their columns differently, a quoted field may hold line breaks, and a single
-file may hold most of the rows. Spark can split a CSV file between tasks only
-when no field spans lines, so :func:`layouts` first scans the text once (in
+file may hold most of the rows. Spark's reader can split a CSV file between tasks
+only when no field spans lines, so :func:`layouts` first scans the text once (in
 parallel, splittable) and finds out per file what its header is and whether any
 quote is left open at the end of a line. Files are then read in groups of equal
-layout, and only those that need it are read unsplit.
+layout. Of those with open quotes, small ones are read unsplit; one that a text scan
+would split is cut at the true ends of its records instead, see :func:`records`.
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ import csv
 import os
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,30 +28,160 @@ from pyspark.sql import types as T
 FILE = "source_file"
 
 
-def layouts(spark: SparkSession, paths, **options) -> list[tuple[tuple[str, ...], bool, list[str]]]:
-    """(header, has open quotes, paths) per group of files with the same layout.
-
-    What comes to the driver is one short row per file, as many as the file
-    listing the driver holds anyway.
-    """
-    lines = spark.read.options(**options).text(paths).select(
+def _lines(spark: SparkSession, paths, **options) -> DataFrame:
+    """Lines with their file, the start of their split and their order in it, and
+    whether they hold an odd number of quotes."""
+    return spark.read.options(**options).text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
         "value",
         ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("open"),
     )
+
+
+def layouts(spark: SparkSession, paths, **options) -> list[tuple[tuple[str, ...], bool, list[str]]]:
+    """(header, has open quotes, paths) per group of files with the same layout."""
+    groups: dict[tuple, list[str]] = {}
+    for (names, way), files in _ways(spark, paths, **options).items():
+        groups.setdefault((names, way != PLAIN), []).extend(files)
+    return [(names, is_open, sorted(files)) for (names, is_open), files in sorted(groups.items())]
+
+
+#: Ways to read a file: without open quotes, with some but small, of many splits.
+PLAIN, WHOLE, CUT = "plain", "whole", "cut"
+
+
+def _ways(spark: SparkSession, paths, **options) -> dict[tuple[tuple[str, ...], str], list[str]]:
+    """Files by header and way to read them.
+
+    What comes to the driver is one short row per file, as many as the file
+    listing the driver holds anyway.
+    """
     has_text = F.trim("value") != ""
-    found = lines.groupBy("path").agg(
+    found = _lines(spark, paths, **options).groupBy("path").agg(
         F.min_by(F.when((F.col("start") == 0) & has_text, F.col("value")), F.when((F.col("start") == 0) & has_text, F.col("place"))).alias("header"),
         F.max("open").alias("open"),
+        F.max("start").alias("last"),
     )
     groups: dict[tuple, list[str]] = {}
     for row in found.collect():
         if row.header:
-            names = tuple(name.strip() for name in next(csv.reader([row.header.lstrip("﻿")])))
-            groups.setdefault((names, bool(row.open)), []).append(row.path)
-    return [(names, is_open, sorted(files)) for (names, is_open), files in sorted(groups.items())]
+            names = tuple(name.strip() for name in next(csv.reader([row.header.lstrip("\ufeff")])))
+            way = PLAIN if not row.open else CUT if row.last else WHOLE
+            groups.setdefault((names, way), []).append(row.path)
+    return {key: sorted(files) for key, files in sorted(groups.items())}
+
+
+def records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, record): the records of CSV files below their header as text, read split.
+
+    Whether a split begins inside quotes follows from the quotes before it: their parity
+    per split, summed up over the splits of the file. Knowing that, every task joins the
+    lines of its records by itself. What a split's edge cuts, one record at most, is put
+    together from its pieces afterwards; nothing else is shuffled. A quote that is never
+    closed takes the rest of its file, less a line feed at the end.
+    """
+    pieces = _pieces(spark, paths)
+    cut = _pieces(spark, paths, only_cut=True)
+    # A piece belongs to the record that began last; in order of their splits, a split
+    # ending a record before it begins another.
+    order = W.partitionBy("path").orderBy("start", "edge")
+    begun = F.last(F.when(F.col("edge") == BEGINS, F.col("start")), ignorenulls=True).over(order)
+    whole = cut.withColumn("begun", begun).groupBy("path", "begun").agg(F.sort_array(F.collect_list(F.struct("start", "record"))).alias("pieces"))
+    whole = whole.select("path", F.array_join(F.col("pieces.record"), "\n").alias("record"))
+    return pieces.where(F.col("edge") == 0).select("path", "record").unionByName(whole)
+
+
+#: Pieces of a record that a split's edge cuts.
+PASSES, ENDS, BEGINS = 1, 2, 3
+
+
+def _pieces(spark: SparkSession, paths: list[str], only_cut: bool = False) -> DataFrame:
+    """(path, start, edge, record): whole records with edge 0, unless ``only_cut``, and
+    per split the piece of a record that passes through it, ends or begins in it."""
+    # Lines end at line feeds. If the first one of a file ends in a carriage return too,
+    # both together are a line's end, also inside quotes, else the latter is text.
+    lines = _lines(spark, paths, lineSep="\n")
+    before = W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
+    first = F.min_by(F.endswith("value", F.lit("\r")), "place").alias("returns")
+    returns = F.bool_or((F.col("start") == 0) & F.col("returns")).over(W.partitionBy("path"))
+    splits = lines.groupBy("path", "start").agg(F.count_if("open").alias("quotes"), first).select(
+        F.col("path").alias("in_path"), F.col("start").alias("in_start"), inside.alias("inside"), returns.alias("returns")
+    )
+    same = (F.col("path") == F.col("in_path")) & (F.col("start") == F.col("in_start"))
+    # Broadcast: a row per split, as many as the scan has tasks. The lines keep their order.
+    known = lines.join(F.broadcast(splits), same, "left").select("path", "start", "inside", "returns", "open", "value")
+
+    def run(batches):
+        split, held, cut, header = None, [], False, False
+        out: list[tuple] = []
+
+        def emit(edge, lines):
+            out.append((*split, edge, "\n".join(lines)))
+
+        def leave():
+            """What is held at a split's end goes on in the next one."""
+            if held and not header:
+                emit(PASSES if cut else BEGINS, held)
+
+        def packed(rows):
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.string()), strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names=["path", "start", "edge", "record"])
+
+        for batch in batches:
+            path, inside = batch.column("path"), batch.column("inside")
+            if inside.null_count:
+                raise RuntimeError("the scan was split in another way the second time; read again")
+            start = batch.column("start").to_numpy()
+            odd = batch.column("open").to_numpy(zero_copy_only=False).astype(np.int64)
+            names = path.dictionary_encode()
+            change = np.flatnonzero((np.diff(start) != 0) | (np.diff(names.indices.to_numpy()) != 0)) + 1
+            for a, b in zip([0, *change.tolist()], [*change.tolist(), len(start)], strict=True):
+                here = (path[a].as_py(), int(start[a]))
+                if here != split:
+                    leave()
+                    split, held, cut, header = here, [], bool(inside[a].as_py()), here[1] == 0
+                    quotes = int(cut)
+                value = batch.column("value").slice(a, b - a)
+                if batch.column("returns")[a].as_py():
+                    value = pc.replace_substring_regex(value, r"\r\z", "")
+                # A record ends with every line after which no quotes are open.
+                after = (quotes + np.cumsum(odd[a:b])) % 2
+                quotes = int(after[-1])
+                ends = np.flatnonzero(after == 0)
+                first = np.concatenate(([0], ends + 1))
+                at = 0
+                while at < len(ends) and (held or cut or header):
+                    lines = held + value.slice(first[at], ends[at] + 1 - first[at]).to_pylist()
+                    if header:  # a file's first record that is not blank
+                        header = not any(line.strip() for line in lines)
+                    elif cut:
+                        emit(ENDS, lines)
+                    elif not only_cut:
+                        emit(0, lines)
+                    held, cut, at = [], False, at + 1
+                held += value.slice(first[-1]).to_pylist()
+                first, ends = first[at:-1], ends[at:]
+                if only_cut or not len(ends):
+                    continue
+                for i in np.flatnonzero(first < ends).tolist():
+                    emit(0, value.slice(first[i], ends[i] + 1 - first[i]).to_pylist())
+                single = value.take(pa.array(first[first == ends]))
+                n = len(single)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([here[0]] * n, pa.string()), pa.array([here[1]] * n, pa.int64()), pa.array([0] * n, pa.int32()), single],
+                    names=["path", "start", "edge", "record"],
+                )
+            if out:
+                yield packed(out)
+                out.clear()
+        leave()
+        if out:
+            yield packed(out)
+
+    return known.mapInArrow(run, "path string, start bigint, edge int, record string")
 
 
 def read_text_csv(
@@ -60,20 +195,20 @@ def read_text_csv(
     """
     options = {"modifiedAfter": modified_after} if modified_after else {}
     parts = []
-    for names, is_open, files in layouts(spark, paths, **options):
+    for (names, way), files in _ways(spark, paths, **options).items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        part = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .option("multiLine", is_open)
-            .csv(files)
-        )
-        columns = [F.col(f"`{name}`") for name in names]
-        if with_file:
-            columns.append(F.col("_metadata.file_path").alias(FILE))
-        parts.append(part.select(*columns))
+        rules = {"escape": '"', "mode": "PERMISSIVE", "multiLine": str(way != PLAIN).lower()}
+        if way == CUT:
+            part = records(spark, files).where(F.trim("record") != "")
+            ddl = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+            part = part.select(F.from_csv("record", ddl, {**rules, "lineSep": "\n"}).alias("_row"), F.col("path").alias(FILE))
+            columns = [F.col("_row")[name].alias(name) for name in names]
+            file = F.col(FILE)
+        else:
+            part = spark.read.schema(schema).options(header=True, **rules).csv(files)
+            columns = [F.col(f"`{name}`") for name in names]
+            file = F.col("_metadata.file_path").alias(FILE)
+        parts.append(part.select(*columns, *([file] if with_file else [])))
     if not parts:
         raise FileNotFoundError(f"no CSV rows in {paths}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -146,9 +146,13 @@ def results_by_sample(tables: Mapping[str, DataFrame], sample_ids: DataFrame) ->
     return keep_known(results(tables), sample_ids, "SampleId")
 
 
-def sample_ids(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct sample ids with a measurement at a station of the wanted types."""
-    return _measured_samples(tables).select(F.col("tsasampl.LAB_ASGND_ID_NUM").alias("SampleId")).distinct()
+def sample_ids(tables: Mapping[str, DataFrame], since=None) -> DataFrame:
+    """Distinct sample ids with a measurement at a station of the wanted types; with
+    ``since``, of samples collected strictly later."""
+    rows = _measured_samples(tables)
+    if since is not None:
+        rows = rows.where(F.col("tsasampl.COLLLECTION_END_DT") > F.lit(since).cast("date"))
+    return rows.select(F.col("tsasampl.LAB_ASGND_ID_NUM").alias("SampleId")).distinct()
 
 
 def stations(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
