@@ -658,3 +658,23 @@ ORACLES["stored_after_failure"] = ORACLES["stored_results"]
 ORACLES["seed_job"] = ORACLES["seed_all"]
 ORACLES["update_job_wqp"] = ORACLES["update_wqp"]
 ORACLES["update_job_sdwis"] = ORACLES["update_sdwis"]
+
+# Samples at the four corners of the half-degree cell a station is in.
+CORNERS = """SELECT cell_x, cell_y, min(elevation) AS m FROM grid GROUP BY ALL"""
+BETWEEN = """
+SELECT s.Id, sum(w * m) AS v FROM (
+  SELECT Id, i + dx AS cx, j + dy AS cy, CASE WHEN dx = 1 THEN fx ELSE 1 - fx END * CASE WHEN dy = 1 THEN fy ELSE 1 - fy END AS w
+  FROM (SELECT Id, floor(-abs(Lon_X) / 0.5) AS i, floor(Lat_Y / 0.5) AS j, -abs(Lon_X) / 0.5 - floor(-abs(Lon_X) / 0.5) AS fx,
+      Lat_Y / 0.5 - floor(Lat_Y / 0.5) AS fy
+    FROM stations WHERE Elev IS NULL OR Elev = 0 OR Elev > 20000), (VALUES (0), (1)) AS a(dx), (VALUES (0), (1)) AS b(dy)) s
+LEFT JOIN corners c ON c.cell_x = cx AND c.cell_y = cy
+WHERE w <> 0 GROUP BY s.Id HAVING count(*) = count(m)"""
+ORACLES["elevation_tiles"] = stations.plus(grid=V.ELEVATION, corners=CORNERS, between_=BETWEEN).end(
+    f"""SELECT Id, raw_id AS StationId, {rounded('coalesce(v, Elev)')} AS Elev, CASE WHEN v IS NOT NULL THEN 'meters' ELSE ElevUnit END AS ElevUnit,
+  CASE WHEN v IS NOT NULL THEN 'Other' END AS ElevMeth FROM stations LEFT JOIN between_ USING (Id)"""
+)
+ORACLES["query_csv_any_case"] = landed.end("SELECT StationId, count(*) AS n FROM landed WHERE Param ILIKE 's%M' GROUP BY StationId")
+ORACLES["typed_csv"] = typed.end(
+    f"""SELECT Param, count(*) AS n, {rounded('sum(ResultValue)')} AS total, min(SampleDate) AS "first", sum(IdNum)::BIGINT AS ids,
+  (SELECT count(ResultValue) + count(IdNum) FROM typed)::BIGINT AS bare FROM typed GROUP BY Param"""
+)

@@ -21,7 +21,7 @@ from wellspring.plans import jobs, loads
 from wellspring.plans.tails import detail_results, transform_results, transform_stations
 from wellspring.session import scratch_dir
 from wellspring.sources import exported, sdwis, wqp
-from wellspring.sources.csvfiles import write_csv
+from wellspring.sources.csvfiles import read_text_csv, write_csv, write_typed_csv
 from wellspring.streaming import ingest as streaming
 
 from . import views as V
@@ -406,6 +406,14 @@ def elevation_fill(spark, sf):
     return flat(filled.select("Id", "StationId", "Elev", "ElevUnit", "ElevMeth"))
 
 
+@query
+def elevation_tiles(spark, sf):
+    """Elevations between the samples of a grid packed into tiles."""
+    tiles = spatial.elevation_tiles(V.view(spark, sf, V.ELEVATION), 4)
+    filled = spatial.fill_elevation_from_tiles(typed_stations(spark, sf), tiles, 0.5, 4)
+    return flat(filled.select("Id", "StationId", "Elev", "ElevUnit", "ElevMeth"))
+
+
 # --- whole loads ---------------------------------------------------------------------
 
 RESULT_COLUMNS = [f.name for f in S.RESULT]
@@ -646,6 +654,30 @@ def query_csv_statements(spark, sf):
     )
 
 
+@query
+def query_csv_any_case(spark, sf):
+    """LIKE in another case than the data's."""
+    base = scratch_dir(spark, "csv")
+    write_csv(V.view(spark, sf, V.LANDED), f"{base}/landed.csv")
+    return sqlcsv.query_csv(
+        spark, "SELECT StationId, count(*) AS n FROM landed WHERE Param LIKE 's%M' GROUP BY StationId", [f"{base}/landed.csv"], ignore_case=True
+    )
+
+
+@query
+def typed_csv(spark, sf):
+    """A result with numbers, texts and dates written as CSV and read back, and how many
+    of its cells are bare."""
+    base = scratch_dir(spark, "csv")
+    rows = columns.to_storage(cast_results(spark, sf), S.RESULT).select("SampleId", "Param", "ResultValue", "SampleDate", "IdNum")
+    write_typed_csv(rows, f"{base}/results.csv")
+    lines = spark.read.text(f"{base}/results.csv").where(~F.startswith("value", F.lit('"SampleId"')))
+    bare = lines.select(F.regexp_count("value", F.lit(r'(^|,)-?[0-9][0-9.E]*(?=,|$)')).alias("n")).agg(F.sum("n")).scalar()
+    back = _no_blanks(read_text_csv(spark, f"{base}/results.csv"))
+    back = back.withColumns({"ResultValue": F.col("ResultValue").cast("double"), "IdNum": F.col("IdNum").cast("bigint")})
+    return flat(back.groupBy("Param").agg(F.count(F.lit(1)).alias("n"), F.sum("ResultValue").alias("total"), F.min("SampleDate").alias("first"), F.sum("IdNum").alias("ids")).withColumn("bare", bare))
+
+
 @query
 def stream_ingest(spark, sf):
     """The landed extract taken as a file stream, less the stored samples. The files

@@ -230,7 +230,32 @@ def table_name(path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header line first. Every value is quoted, as Spark cannot quote by type, and
-    keeps the blanks at its ends."""
+    """Header line first. Every value is quoted and keeps the blanks at its ends; see
+    :func:`write_typed_csv` for bare numbers."""
     writer = df.write.mode(mode).option("header", True).option("quoteAll", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """(value): rows as lines of CSV, numbers bare, all else quoted, NULL as empty quotes.
+    The first line of every partition follows the header, in the same value."""
+    def cell(field: T.StructField):
+        text = F.col(f"`{field.name}`").cast("string")
+        if isinstance(field.dataType, T.NumericType):
+            return F.coalesce(text, F.lit('""'))
+        return F.concat(F.lit('"'), F.coalesce(F.replace(text, F.lit('"'), F.lit('""')), F.lit("")), F.lit('"'))
+
+    header = ",".join('"' + name.replace('"', '""') + '"' for name in df.columns)
+    line = F.concat_ws(",", *map(cell, df.schema.fields))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    return df.select(F.when(first, F.concat(F.lit(header + "\r\n"), line)).otherwise(line).alias("value"))
+
+
+def write_typed_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV files whose numbers are bare and whose texts are quoted, each with a header
+    line; lines end in a carriage return and a line feed. An empty result is a header."""
+    lines = csv_lines(df)
+    if df.isEmpty():
+        header = ",".join('"' + name.replace('"', '""') + '"' for name in df.columns)
+        lines = df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
+    lines.write.mode(mode).option("lineSep", "\r\n").text(path)

@@ -88,13 +88,17 @@ def _equals(left: str, right: str):
     return F.col(left) == F.col(right)
 
 
-def _measured_samples(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Facility, sampling point, sample and measurement of the wanted types."""
-    t = {name: tables[name].alias(name) for name in ("tinwsf", "tsasmppt", "tsasampl", "tsasar")}
+def _measured_samples(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+    """Facility, sampling point, sample and measurement of the wanted types; with
+    ``ids`` (SampleId), of these samples, which leave before anything is joined."""
+    t = {name: tables[name].alias(name) for name in ("tinwsf", "tsasmppt", "tsasar")}
+    samples = tables["tsasampl"]
+    if ids is not None:
+        samples = keep_known(samples, ids.select(F.col("SampleId").alias("LAB_ASGND_ID_NUM")), "LAB_ASGND_ID_NUM")
     return (
         t["tsasar"]
         .where(F.col("CONCENTRATION_MSR").isNotNull())
-        .join(t["tsasampl"], _equals("tsasar.TSASAMPL_IS_NUMBER", "tsasampl.TSASAMPL_IS_NUMBER"))
+        .join(samples.alias("tsasampl"), _equals("tsasar.TSASAMPL_IS_NUMBER", "tsasampl.TSASAMPL_IS_NUMBER"))
         .join(t["tsasmppt"], _equals("tsasampl.TSASMPPT_IS_NUMBER", "tsasmppt.TSASMPPT_IS_NUMBER"))
         .join(
             t["tinwsf"].where(F.col("TYPE_CODE").isin(*STATION_TYPE_CODES)),
@@ -103,29 +107,37 @@ def _measured_samples(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def results(tables: Mapping[str, DataFrame], since=None, known: DataFrame | None = None) -> DataFrame:
-    """Result extract; with ``since``, only samples collected strictly later, and with
-    ``known``, only results whose (SampleDate as a day, SampleId, Param) it lacks.
+def results(
+    tables: Mapping[str, DataFrame],
+    since=None,
+    known: DataFrame | None = None,
+    ids: DataFrame | None = None,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """Result extract; with ``since``, only samples collected strictly later, with
+    ``known``, only results whose (SampleDate as a day, SampleId, Param) it lacks, with
+    ``keys`` only those it has, and with ``ids`` only those of its samples.
 
-    Known keys leave before the columns that only widen the rows are joined.
+    Rows leave before the columns that only widen them are joined.
     """
     t = {name: tables[name].alias(name) for name in ("tinwsys", "tinloc", "tsaanlyt", "tsalab")}
-    joined = _measured_samples(tables).join(
+    joined = _measured_samples(tables, ids if keys is None else keys).join(
         t["tsaanlyt"], _equals("tsasar.TSAANLYT_IS_NUMBER", "tsaanlyt.TSAANLYT_IS_NUMBER")
     )
     if since is not None:
         # Compared as a moment of the column's own type, so the scan can skip files.
         joined = joined.where(F.col("tsasampl.COLLLECTION_END_DT") > F.lit(since).cast("date"))
-    if known is not None:
+    for wanted, how in ((known, "left_anti"), (keys, "left_semi")):
+        if wanted is None:
+            continue
         day = F.col("SampleDate").cast("date")
-        keys = known.select(day.alias("_day"), F.col("SampleId").alias("_sample"), F.col("Param").alias("_param"))
-        keys = few_copies(keys, keys.columns)
+        wanted = wanted.select(day.alias("_day"), F.col("SampleId").alias("_sample"), F.col("Param").alias("_param"))
         same = (
             (F.col("tsasampl.COLLLECTION_END_DT").cast("date") == F.col("_day"))
             & (F.col("tsasampl.LAB_ASGND_ID_NUM") == F.col("_sample"))
             & (F.col("tsaanlyt.NAME") == F.col("_param"))
         )
-        joined = joined.join(keys, same, "left_anti")
+        joined = joined.join(few_copies(wanted, wanted.columns), same, how)
     joined = (
         joined.join(t["tinwsys"], _equals("tinwsf.TINWSYS_IS_NUMBER", "tinwsys.TINWSYS_IS_NUMBER"))
         .join(t["tinloc"], _equals("tinwsf.TINWSF_IS_NUMBER", "tinloc.TINWSF_IS_NUMBER"))
@@ -136,14 +148,12 @@ def results(tables: Mapping[str, DataFrame], since=None, known: DataFrame | None
 
 def results_by_key(tables: Mapping[str, DataFrame], keys: DataFrame) -> DataFrame:
     """Results of the given (SampleDate, SampleId, Param) keys, in one job."""
-    day = F.col("SampleDate").cast("date")
-    rows = results(tables).withColumn("_day", day)
-    return keep_known(rows, keys.select(day.alias("_day"), "SampleId", "Param"), ["_day", "SampleId", "Param"]).drop("_day")
+    return results(tables, keys=keys)
 
 
 def results_by_sample(tables: Mapping[str, DataFrame], sample_ids: DataFrame) -> DataFrame:
     """Results of the given samples; a NULL id never matches."""
-    return keep_known(results(tables), sample_ids, "SampleId")
+    return results(tables, ids=sample_ids)
 
 
 def sample_ids(tables: Mapping[str, DataFrame], since=None) -> DataFrame:
