@@ -30,6 +30,9 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -41,11 +44,13 @@ from pyspark.sql import functions as F
 from .common import mix, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 1 << 20
+SLICE = 3 << 20
 #: Paths that leave a path where its prefix has lost so much log probability are left
 #: out of the agenda if others leave with at least e^(FAR / 2) times their mass. They
 #: would change a draw with probability under 1e-20.
 FAR = 120.0
+#: Uniform numbers made for every text at once; a search that needs more makes them.
+READY = 96
 SPACE = 0x20
 MARK = "▁"  # how pieces write a space
 
@@ -58,7 +63,7 @@ class Vocabulary(NamedTuple):
     byte_ids: np.ndarray
     root: np.ndarray  # the state after one byte, or 0
     pair: np.ndarray  # the state after two bytes, or 0
-    keys: np.ndarray  # state * 256 + byte, sorted
+    keys: np.ndarray  # state * 256 + byte, by place in a hash table; -1 where it is free
     targets: np.ndarray
     ends: np.ndarray  # the piece that ends in a state, or -1
     single: np.ndarray  # bytes that no piece but their byte piece has
@@ -91,8 +96,7 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
                 ends.append(-1)
             at = states[at, b]
         ends[at] = i
-    keys = np.array([s * 256 + b for s, b in states], np.int64)
-    order = np.argsort(keys)
+    table, targets = hashed(np.array([s * 256 + b for s, b in states], np.int64), np.array(list(states.values()), np.int32))
     root, pair = np.zeros(256, np.int32), np.zeros(1 << 16, np.int32)
     first = {s: b for (at, b), s in states.items() if at == 0}
     root[list(first.values())] = list(first)
@@ -101,7 +105,27 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
             pair[first[at] * 256 + b] = s
     used = np.zeros(256, bool)
     used[np.frombuffer(b"".join(pieces[i] for i in plain), np.uint8)] = True
-    return Vocabulary(pieces, weights, byte_ids, root, pair, keys[order], np.array(list(states.values()), np.int32)[order], np.array(ends, np.int32), ~used & (np.arange(256) < 128))
+    return Vocabulary(pieces, weights, byte_ids, root, pair, table, targets, np.array(ends, np.int32), ~used & (np.arange(256) < 128))
+
+
+def slot(keys: np.ndarray, size: int) -> np.ndarray:
+    """First place of a key in a hash table of ``size``, a power of two."""
+    x = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (x >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def hashed(keys: np.ndarray, values: np.ndarray):
+    """(keys, values): an open hash table at most an eighth full."""
+    size = 8 << int(len(keys)).bit_length()
+    table, held = np.full(size + len(keys), -1, np.int64), np.zeros(size + len(keys), np.int32)
+    at, rest = slot(keys, size), np.arange(len(keys))
+    while len(rest):
+        free = rest[table[at[rest]] < 0]
+        _, first = np.unique(at[free], return_index=True)
+        table[at[free[first]]], held[at[free[first]]] = keys[free[first]], values[free[first]]
+        rest = rest[table[at[rest]] != keys[rest]]
+        at[rest] += 1
+    return table, held
 
 
 class Lattice:
@@ -162,6 +186,7 @@ class Lattice:
         at, state, depth = np.flatnonzero(np.arange(len(data)) < end).astype(np.int32), np.zeros(0, np.int32), 0
         found = []
         octets = data.astype(np.int64)
+        size = 1 << (len(v.keys).bit_length() - 1)
         lead = np.array([1 if b < 0x80 else 0 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256)])
         spelled = lead[data]  # bytes of the character that begins here, unless it has a piece
         spelled[end] = 0
@@ -170,9 +195,15 @@ class Lattice:
                 to = v.pair[octets[at] << 8 | octets[at + 1]] if depth else v.root[data[at]]
                 ok = to > 0
             else:
-                key = state.astype(np.int64) * 256 + octets[at + depth]
-                j = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-                ok, to = v.keys[j] == key, v.targets[j]
+                key = (state.astype(np.int64) << 8) | octets[at + depth]
+                j = slot(key, size)
+                held = v.keys[j]
+                late = np.flatnonzero((held != key) & (held >= 0))  # the place is another key's
+                while len(late):
+                    j[late] += 1
+                    held[late] = v.keys[j[late]]
+                    late = late[(held[late] != key[late]) & (held[late] >= 0)]
+                ok, to = held == key, v.targets[j]
             at, state = at[ok], to[ok]
             depth += 1
             piece = v.ends[state]
@@ -191,25 +222,24 @@ class Lattice:
         """A random path from each node: (edges of all paths in order, where each path
         begins and one past the last)."""
         taken, owners = [], []
-        live = np.arange(len(nodes))
-        at, place = nodes.copy(), places.copy()
+        live, steps = np.arange(len(nodes), dtype=np.int32), np.zeros(len(nodes) + 1, np.int32)
+        at, ahead = nodes, places - nodes  # a path's place is its node and what it is ahead of it
         while len(live):
-            u = uniform(keys, place)
+            u = uniform(keys, ahead + at)
             edge = self.first[at]
             late = np.flatnonzero(u >= self.reach[edge])
+            u = u[late]
             while len(late):
                 edge[late] += 1
-                late = late[u[late] >= self.reach[edge[late]]]
+                more = np.flatnonzero(u >= self.reach[edge[late]])
+                late, u = late[more], u[more]
             taken.append(edge)
             owners.append(live)
-            after = self.after[edge]
-            place = place + (after - at)
-            go = ~self.is_end[after]
-            live, at, place, keys = live[go], after[go], place[go], keys[go]
-        steps = np.zeros(len(nodes) + 1, np.int64)
-        for o in owners:
-            steps[o + 1] += 1
-        begins = np.cumsum(steps)
+            steps[live + 1] += 1
+            at = self.after[edge]
+            go = np.flatnonzero(~self.is_end[at])
+            live, at, ahead, keys = live[go], at[go], ahead[go], keys[go]
+        begins = np.cumsum(steps, dtype=np.int64)
         out = np.empty(begins[-1], np.int32)
         for step, (o, edge) in enumerate(zip(owners, taken, strict=True)):
             out[begins[o] + step] = edge
@@ -217,9 +247,17 @@ class Lattice:
 
 
 def uniform(keys: np.ndarray, counters: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) by key and counter."""
-    x = mix(keys + counters.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+    """Numbers in (0, 1) by key and counter: :func:`mix` of both, in place."""
+    x = keys + counters.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(12)
+    u = x.astype(np.float64)
+    u += 0.5
+    u *= 2.0**-52
+    return u
 
 
 def truncated(place: np.ndarray, u: np.ndarray, most: float) -> np.ndarray:
@@ -236,20 +274,28 @@ class Path(NamedTuple):
     bounds: np.ndarray  # best perturbed value of the paths that leave here
 
 
-def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k: int):
+def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, ready: np.ndarray, k: int):
     """The k best perturbed paths through ``words`` (their first nodes), best first,
     as (edges, log probability), and the threshold. ``draws[j]``: a fresh path as
-    (edges, word ends), used for whatever the jth path does not inherit."""
+    (edges, word ends), used for whatever the jth path does not inherit. ``ready`` are
+    the first of the key's uniform numbers."""
     serial = 0
 
     def fresh(n: int) -> np.ndarray:
         nonlocal serial
         serial += n
-        return uniform(key, np.arange(serial - n, serial))
+        return ready[serial - n : serial] if serial <= len(ready) else uniform(key, np.arange(serial - n, serial))
 
     def path(edges, word_ends, branch: int, most: float) -> Path:
-        sums = np.concatenate(([0.0], np.cumsum(lattice.log_p[edges])))
-        far = min(int(np.searchsorted(-sums, FAR - sums[branch])), len(edges))
+        sums = np.empty(len(edges) + 1)
+        sums[0] = 0.0
+        np.cumsum(lattice.log_p[edges], out=sums[1:])
+        # Sums fall, so the part that is near enough is found from its own end.
+        far, stop = len(edges), branch + 64
+        while stop <= len(edges) and sums[stop] > sums[branch] - FAR:
+            stop *= 2
+        stop = min(stop, len(edges))
+        far = min(int(np.searchsorted(-sums[: stop + 1], FAR - sums[branch])), len(edges))
         place = sums[branch:far] + lattice.rest(edges[branch:far])
         if far < len(edges) and not place.max(initial=-np.inf) > sums[far] + FAR / 2:
             place = sums[branch:-1] + lattice.rest(edges[branch:])  # nothing leaves nearby
@@ -259,14 +305,15 @@ def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k:
 
     best = float(-np.log(-np.log(fresh(1)[0])))
     paths = [path(*draws[0], 0, best)]
+    steps = []  # where the best of the rest leaves each path
     left: dict[tuple[int, int], list[int]] = {}  # edges drawn at a node of a path
     while True:
-        tops = [p.bounds.max() if len(p.bounds) else -np.inf for p in paths]
-        source = int(np.argmax(tops))
+        steps += [int(p.bounds.argmax()) if len(p.bounds) else -1 for p in paths[len(steps) :]]
+        tops = [float(p.bounds[at]) if at >= 0 else -np.inf for p, at in zip(paths, steps, strict=True)]
+        source = tops.index(max(tops))
         if len(paths) == k or tops[source] == -np.inf:
-            return [(p.edges, p.log_prob) for p in paths], float(tops[source])
-        old, most = paths[source], float(tops[source])
-        step = int(old.bounds.argmax())
+            return [(p.edges, p.log_prob) for p in paths], tops[source]
+        old, most, step = paths[source], tops[source], steps[source]
         drawn = left.setdefault((source, step), [int(old.edges[step])])
         word = int(np.searchsorted(old.word_ends, step, "right"))
         node = int(words[word] if step == (old.word_ends[word - 1] if word else 0) else lattice.after[old.edges[step - 1]])
@@ -276,8 +323,9 @@ def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k:
         tail = [choose(options, mass, fresh(1)[0])]
         drawn.append(tail[0])
         rest = float(mass.sum() - np.exp(lattice.log_p[tail[0]])) if len(options) > 1 else 0.0
-        place = old.sums[step] + (np.log(rest) if rest > 0 else -np.inf)
-        old.bounds[step] = truncated(np.array(place), fresh(1)[0], most)
+        place = float(old.sums[step]) + (math.log(rest) if rest > 0 else -math.inf)
+        old.bounds[step] = truncated_one(place, float(fresh(1)[0]), most)
+        steps[source] = int(old.bounds.argmax())
         while not lattice.is_end[node := lattice.after[tail[-1]]]:
             options = range(lattice.first[node], lattice.first[node + 1])
             tail.append(choose(options, np.exp(lattice.log_p[options.start : options.stop]), fresh(1)[0]))
@@ -289,9 +337,14 @@ def search(lattice: Lattice, words: np.ndarray, draws: list, key: np.ndarray, k:
         paths.append(path(edges, word_ends, step + 1, most))
 
 
+def truncated_one(place: float, u: float, most: float) -> float:
+    """:func:`truncated` for one number."""
+    return place if place == -math.inf else place - math.log(math.exp(min(place - most, 700.0)) - math.log(u))
+
+
 def choose(options, mass: np.ndarray, u: float) -> int:
-    running = np.cumsum(mass)
-    return int(options[min(int(np.searchsorted(running, u * running[-1], "right")), len(mass) - 1)])
+    running = list(accumulate(mass.tolist()))
+    return int(options[min(bisect_right(running, float(u) * running[-1]), len(running) - 1)])
 
 
 def words_of(v: Vocabulary, data: np.ndarray, offsets: np.ndarray):
@@ -337,13 +390,14 @@ def samples(v: Vocabulary, alpha: float, k: int, data: np.ndarray, offsets: np.n
         stream = mix(keys + np.uint64((j + 1) * 0xC2B2AE3D27D4EB4F % (1 << 64)))
         fresh.append(lattice.draw(nodes, stream[text], word - begins[text]))
     own = mix(keys ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    ready = uniform(own[:, None], np.arange(READY))
     for i in range(len(keys)):
         a, b = in_text[i], in_text[i + 1]
         if a == b:
             yield [(np.zeros(0, np.int32), 0.0)], -np.inf
             continue
         draws = [(edges[at[a] : at[b]], at[a + 1 : b + 1] - at[a]) for edges, at in fresh]
-        found, threshold = search(lattice, nodes[a:b], draws, own[i : i + 1], k)
+        found, threshold = search(lattice, nodes[a:b], draws, own[i : i + 1], ready[i], k)
         yield [(lattice.piece[edges], log_prob) for edges, log_prob in found], threshold
 
 
