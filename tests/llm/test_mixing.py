@@ -129,3 +129,15 @@ def test_no_labels_and_no_rows(spark):
 def test_copies_average_to_the_rate(spark):
     n = spark.range(4000).agg(F.sum(mixing.copies(F.lit(1.3), F.col("id")))).first()[0]
     assert abs(n / 4000 - 1.3) < 0.03
+
+
+def test_more_domains_than_are_told_apart(spark, monkeypatch):
+    """The rarest share one target."""
+    monkeypatch.setattr(mixing, "MOST_DOMAINS", 4)
+    rows = [(f"w{i % 10} x{i % 10}", i, "r", 0, f"d{min(i % 10, i // 12)}") for i in range(100)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labelled = docs.select("doc_id", "domain")
+    often = [d for d, _ in sorted(Counter(r[4] for r in rows).items(), key=lambda x: (-x[1], x[0]))][:3]
+    found, names = mixing.mixed(docs, labelled, {f"d{i}": 0.1 for i in range(10)})
+    assert names == sorted([*often, mixing.REST])
+    assert found.count() == 100 and all(abs(x - (0.7 if d == mixing.REST else 0.1)) < 0.1 for d, x in zip(names, mixing.reached(found, 4), strict=True))

@@ -141,3 +141,47 @@ def test_quality_of_odd_rows(spark):
     kept = quality.good(docs, labels, usable)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} & set(range(120)) == set(range(80))
+
+
+def test_more_labels_than_are_learned(spark):
+    """300 languages: the most frequent are learned, none is an error."""
+    rng = random.Random(4)
+    rows = [("der hund und die katze " + str(rng.random()), i, "de") for i in range(40)] + [("the dog and the cat " + str(rng.random()), 100 + i, "en") for i in range(40)]
+    rows += [(f"wort{i}", 1000 + i, f"x{i:03d}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "text string, doc_id bigint, lang string")
+    windows = langid.labelled_windows(docs, F.lit(True))
+    languages = {r["lang"] for r in windows}
+    assert len(languages) == langid.MOST_LANGUAGES and {"de", "en", "x000"} <= languages and "x299" not in languages
+
+
+def test_network_equals_plain_loops():
+    """Embedding, filters of every width, maxima and softmax by explicit sums."""
+    rng = np.random.default_rng(5)
+    net = langid.ByteNet(["a", "b", "c"])
+    x = rng.integers(0, 256, (3, 40)).astype(np.uint8)
+    net.train(x.repeat(9, axis=0), rng.integers(0, 3, 27))
+    for row, got in zip(x, net.probabilities(x), strict=True):
+        z = list(net.p["bias"])
+        for f in range(langid.FILTERS * len(langid.WIDTHS)):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            best = max(
+                sum(net.p["embedding"][row[at + j]] @ net.p["filters"][j, :, f] for j in range(width))
+                for at in range(len(row) - max(langid.WIDTHS) + 1)
+            )
+            for c in range(3):
+                z[c] += max(best + net.p["shift"][f], 0) * net.p["dense"][f, c]
+        e = np.exp(np.array(z) - max(z))
+        assert np.allclose(got, e / e.sum(), atol=1e-5)
+
+
+def test_ridge_equals_one_matrix(spark):
+    """The weights from sums over partitions are those of all rows in one matrix."""
+    rng = np.random.default_rng(6)
+    width = len(quality.STATISTICS)
+    x, y = rng.normal(size=(300, width)), rng.integers(0, 2, 300)
+    rows = [(i % 2, a.tolist(), int(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))]
+    model = quality.fit(spark.createDataFrame(rows, "half int, x array<double>, y int").repartition(6))
+    z = quality.features(x, model.mean, model.scale)
+    stacked = np.vstack((z / np.sqrt(len(z)), np.sqrt(quality.RIDGE) * np.eye(z.shape[1])))
+    want = np.linalg.lstsq(stacked, np.concatenate((y / np.sqrt(len(z)), np.zeros(z.shape[1]))), rcond=None)[0]
+    assert np.allclose(model.weights, want, atol=1e-6)

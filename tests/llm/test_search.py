@@ -116,3 +116,24 @@ def test_nearest_of_few_or_no_rows(spark):
 
 def test_query_agrees_with_sql(same):
     same("op5_exact_topk")
+
+
+def test_query_rows_that_repeat_an_id(spark):
+    """Each is answered by itself."""
+    vectors = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    rows = table(spark, vectors)
+    for found in (topk.top_k, ann.nearest):
+        got = sorted((r.query_id, r.rank, r.vec_id) for r in found(rows.where("vec_id % 50 = 0"), rows, 5).collect())
+        assert got == [(0, 1, 1), (0, 1, 1), (0, 1, 2), (0, 2, 1), (0, 2, 2), (0, 2, 2)]
+
+
+def test_more_lengths_than_have_pivots(spark, monkeypatch):
+    """70 lengths, of which a few have pivots: every query is answered."""
+    monkeypatch.setattr(ann, "MOST_LENGTHS", 3)
+    vectors = [(i, [1.0] * (i % 70) + [float(i + 1)]) for i in range(350)]
+    rows = table(spark, vectors)
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    got = {(r.query_id, r.rank): r.score for r in ann.nearest(rows.where("vec_id % 50 = 0"), rows, 2).collect()}
+    for q, a in vectors[::50]:
+        want = sorted((-cosine(a, b) for c, b in vectors if c != q and len(b) == len(a)))[:2]
+        assert all(abs(got[q, i + 1] + w) < 1e-12 for i, w in enumerate(want))

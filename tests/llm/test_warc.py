@@ -52,6 +52,31 @@ def test_archives_of_bounded_size(spark, tmp_path):
         assert f.read().count(b"WARC/1.1\r\n") == manifest.first().records + 1
 
 
+def test_long_headers(spark):
+    """A url of 2 MB between other pages, and one whose encoding is three times as long."""
+    urls = ["u", "http://a/" + "x" * 2_000_000, "v", "http://a/" + "é" * 300_000, "w"]
+    got = {r.page_id: r for r in rows_of(spark, [(f"t{i}", i, u, "", 0, 0, "") for i, u in enumerate(urls)])}
+    assert sorted(got) == [0, 1, 2, 3, 4] and all(r.problem is None and bytes(r.payload) == f"t{i}".encode() for i, r in got.items())
+
+
+def test_reading_goes_on_after_a_broken_record():
+    """Whatever is broken, the records after it are read."""
+    def record(text):
+        return warc.member([("WARC-Type", "resource"), ("WARC-Record-ID", text)], text.encode() * 3000)
+
+    seen = lambda data: [(h.get("warc-record-id"), p is None) for h, _, _, p in warc.records(io.BytesIO(data))]
+    good = [record(c) for c in "abc"]
+    assert seen(b"".join(good)) == [("a", True), ("b", True), ("c", True)]
+    short = gzip.compress(b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n")
+    headless = gzip.compress(b"WARC/1.1 without an end" * 10_000)
+    torn = bytearray(record("t" + "".join(map(chr, range(48, 90))) * 50))
+    torn[40:60] = bytes(20)
+    for bad in (short, headless, bytes(torn), b"no member at all", b"\x1f\x8b\x08" * 5, record("z")[:-9]):
+        found = seen(good[0] + bad + good[1] + good[2])
+        assert [f for f in found if f[1]] == [("a", True), ("b", True), ("c", True)], bad[:30]
+        assert sum(not ok for _, ok in found) == 1
+
+
 def test_broken_archives_are_reported():
     good = warc.member([("WARC-Type", "resource"), ("WARC-Payload-Digest", f"sha1:{sha('abc')}")], b"abc")
     bad = warc.member([("WARC-Type", "resource"), ("WARC-Payload-Digest", f"sha1:{sha('x')}")], b"abc")

@@ -17,7 +17,8 @@ they cannot crowd other vectors out.
 Pivots are chosen from a bounded sample, the first ``8 * PIVOTS`` distinct vectors of
 each length by hash: in that order, those that are not close to one chosen before, as
 pivots that lie together would fill every permutation nearby with one and the same
-run. More than ``MOST_LENGTHS`` lengths are an error.
+run. The ``MOST_LENGTHS`` lengths with the most vectors (ties: the shorter) have pivots;
+queries of other lengths are compared with all vectors of their length.
 
 Odd rows: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without ``vec_id``. Vectors meet those of their own length only. A
@@ -56,11 +57,10 @@ def pivots(rows: DataFrame) -> dict[int, np.ndarray]:
     """The pivots of each vector length, scaled to length 1."""
     drawn = rows.select(F.size("x").alias("dim"), F.pmod(F.xxhash64("x"), F.lit(1 << 40)).alias("draw"), "x")
     most = 8 * PIVOTS
-    sizes = drawn.groupBy("dim").agg(F.approx_count_distinct("draw").alias("n")).limit(MOST_LENGTHS + 1).collect()
-    if len(sizes) > MOST_LENGTHS:
-        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    sizes = drawn.groupBy("dim").agg(F.approx_count_distinct("draw").alias("n")).orderBy(F.desc("n"), "dim").limit(MOST_LENGTHS).collect()
     if not sizes:
         return {}
+    drawn = drawn.where(F.col("dim").isin([r["dim"] for r in sizes]))
     share = F.create_map(*(F.lit(v) for r in sizes for v in (r["dim"], min(1.0, 1.5 * most / r["n"]))))
     draw = W.partitionBy("dim").orderBy("draw", "x")
     first = (
@@ -141,14 +141,18 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                 y, entry = np.unique(y, axis=0, return_inverse=True)
                 by_entry = np.lexsort((other, entry.ravel()))
                 first = np.searchsorted(entry.ravel()[by_entry], np.arange(len(y) + 1))
-                lists = inverted(permutations(y, points[dim]), len(points[dim]))
-                largest = min(PREFIX, len(points[dim])) * (min(PREFIX, len(points[dim])) + 1)
                 few = min(len(y), max(LEAST, int(np.ceil(SHARE * len(y)))))
+                if dim in points:
+                    lists = inverted(permutations(y, points[dim]), len(points[dim]))
+                    largest = min(PREFIX, len(points[dim])) * (min(PREFIX, len(points[dim])) + 1)
+                    orders = permutations(x, points[dim])
                 query, found, score = [], [], []
-                for i, order in enumerate(permutations(x, points[dim])):
-                    apart_by = largest + footrule(order, *lists, len(y))
-                    limit = max(np.partition(apart_by, few - 1)[few - 1], NEAR * largest)
-                    near = np.flatnonzero(apart_by <= limit)
+                for i in range(len(x)):
+                    near = np.arange(len(y))  # a rare length has no pivots
+                    if dim in points:
+                        apart_by = largest + footrule(orders[i], *lists, len(y))
+                        limit = max(np.partition(apart_by, few - 1)[few - 1], NEAR * largest)
+                        near = np.flatnonzero(apart_by <= limit)
                     cosine = cosines(x[i], y[near])
                     # own rows fill one entry at most, so k + 1 entries, and ties, are enough
                     at_k = min(k, len(near) - 1)
@@ -163,10 +167,11 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                         found.append(j)
                         score.append(-c)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(query, pa.int64())), others.take(pa.array(found, pa.int64())), pa.array(score, pa.float64())],
-                    names=["query_id", "vec_id", "score"],
-                )
+                    [pa.array([at["q_block"].as_py()] * len(query), pa.int64()), pa.array(query, pa.int64()), ids.take(pa.array(query, pa.int64())),
+                     others.take(pa.array(found, pa.int64())), pa.array(score, pa.float64())],
+                    names=["block", "place", "query_id", "vec_id", "score"],
+                )
 
-    found = met(ask, have).mapInArrow(run, f"query_id {kind}, vec_id {kind}, score double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = met(ask, have).mapInArrow(run, f"block bigint, place bigint, query_id {kind}, vec_id {kind}, score double")
+    rank = F.row_number().over(W.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -7,8 +7,9 @@ consecutive windows that cover all of it, the last one padded with zero bytes; i
 probabilities are the mean over its windows, weighted by their bytes.
 
 Training reads at most ``WINDOWS_PER_LANGUAGE`` windows per language, drawn by a hash
-of row id and text; more than ``MOST_LANGUAGES`` labels are an error. Everything else
-is one pass over the texts.
+of row id and text, of the ``MOST_LANGUAGES`` labels with the most rows (ties by name);
+rarer labels are not learned, and so never predicted. Everything else is one pass over
+the texts. Of languages with equal probability the first by name is predicted.
 
 Odd rows: a null text or one without a letter is ``und`` with score 0, and so is
 every text if nothing was learned. Rows are judged one by one, so repeated rows get
@@ -148,11 +149,10 @@ def folded_bytes(data: np.ndarray) -> np.ndarray:
 def labelled_windows(docs: DataFrame, usable: Column) -> list:
     """At most about ``WINDOWS_PER_LANGUAGE`` (lang, window) rows per language."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages among the labels")
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return []
+    rows = rows.where(F.col("lang").isin([r["lang"] for r in counts]))
     per_language = lambda f: F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], f(r["count"]))))[F.col("lang")]
     share = per_language(lambda n: min(1.0, WINDOWS_PER_LANGUAGE / n))
     each = per_language(lambda n: -(-WINDOWS_PER_LANGUAGE // n))  # windows of a text, if texts are few

@@ -32,8 +32,9 @@ descent on the same error instead; a miss is logged as well.
 Odd rows: null and empty texts have no tokens and the prior as posterior. Rows that
 share a ``doc_id`` are one document; rows without one are never fitted and get the
 rate 1. Without labels or tokens all rates are 1. Labels are drawn from a bounded
-sample: the first ``LABELS`` rows with a domain by hash; more than ``MOST_DOMAINS``
-domains are an error. Domains without a target have weight 0; a target without labels
+sample: the first ``LABELS`` rows with a domain by hash. Beyond ``MOST_DOMAINS`` domains
+the ones with the fewest labels (ties: the later name) are one, ``REST``, whose target
+is the sum of theirs. Domains without a target have weight 0; a target without labels
 cannot be met. Other columns are not read.
 """
 
@@ -54,6 +55,7 @@ BUCKETS = 1 << 13
 EVIDENCE = 32
 LABELS = 20_000
 MOST_DOMAINS = 64
+REST = "(rest)"
 #: Rounds of the descent that an explicit upper bound takes.
 ROUNDS = 25
 CLOSE = 1e-6
@@ -241,9 +243,14 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epoch
     """(rows, names): doc_id, tokens, posterior (in the order of ``names``), rate per
     document. ``labelled``: (doc_id, domain); rows with a null in either are not used."""
     labelled = labelled.where("doc_id is not null and domain is not null")
-    names = [r["domain"] for r in labelled.select("domain").distinct().limit(MOST_DOMAINS + 1).collect()]
+    most_labels = labelled.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MOST_DOMAINS + 1)
+    names = [r["domain"] for r in most_labels.collect()]
     if len(names) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
+        names = names[: MOST_DOMAINS - 1]
+        own = F.col("domain").isin(names)
+        labelled = labelled.withColumn("domain", F.when(own, F.col("domain")).otherwise(REST))
+        targets = {d: t for d, t in targets.items() if d in names} | {REST: sum(t for d, t in targets.items() if d not in names)}
+        names = [*(d for d in names if d != REST), REST]
     names.sort()
     if names:
         rows = posteriors(docs, labelled, names, evidence)

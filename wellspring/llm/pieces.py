@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import mix, text_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 3 << 20
+SLICE = 1 << 20
 #: Paths that leave a path where its prefix has lost so much log probability are left
 #: out of the agenda if others leave with at least e^(FAR / 2) times their mass. They
 #: would change a draw with probability under 1e-20.

@@ -55,8 +55,9 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON a = d.doc_
 
 @query
 def op2_warc(spark, sf_dir):
-    """Pages written to WARC archives and read back."""
+    """Pages written to WARC archives and read back. A broken record is an error."""
     read = warc.archived(spark, table(spark, sf_dir, "pages"), revisit_from=0)
+    read = read.withColumn("record_type", F.when(F.col("problem").isNull(), F.col("record_type")).otherwise(F.raise_error("problem")))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -15,7 +15,8 @@ however many copies of a vector there are.
 
 Odd rows: vectors that are null, empty or hold null or non-finite components take no
 part, nor do rows without ``vec_id``. Vectors meet those of their own length only. A
-row is not its own candidate, nor is any row with its id. Components beyond 64 bits
+row is not its own candidate, nor is any row with its id. Query rows that repeat an id
+are answered each by itself, so equal ones give equal rows. Components beyond 64 bits
 are set to the nearest 64-bit integer, scores beyond +-(2^62 - 1) to that bound. Other
 columns are not read.
 """
@@ -93,7 +94,7 @@ def histograms(pairs: DataFrame, k: int, span: int, width: int) -> DataFrame:
 
 
 def selected(pairs: DataFrame, k: int, kind: str) -> DataFrame:
-    """(query_id, vec_id, score) above the query's kth value, which is ``lows`` now,
+    """(q_block, place, query_id, vec_id, score) above the query's kth value, which is ``lows`` now,
     and the k smallest ids at it."""
 
     def run(batches):
@@ -107,11 +108,12 @@ def selected(pairs: DataFrame, k: int, kind: str) -> DataFrame:
                 query = np.concatenate((query, [i for i, _ in ties])).astype(np.int64)
                 column = np.concatenate((column, [j for _, j in ties])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [at["q_ids"].values.take(pa.array(query + part.start)), at["c_ids"].values.take(pa.array(column)), pa.array(s[query, column])],
-                    names=["query_id", "vec_id", "score"],
-                )
+                    [pa.array(np.full(len(query), at["q_block"].as_py())), pa.array(query + part.start), at["q_ids"].values.take(pa.array(query + part.start)),
+                     at["c_ids"].values.take(pa.array(column)), pa.array(s[query, column])],
+                    names=["q_block", "place", "query_id", "vec_id", "score"],
+                )
 
-    return pairs.mapInArrow(run, f"query_id {kind}, vec_id {kind}, score bigint")
+    return pairs.mapInArrow(run, f"q_block bigint, place bigint, query_id {kind}, vec_id {kind}, score bigint")
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
@@ -147,6 +149,6 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
             .select("q_block", F.col("s.low").alias("lows"), F.col("s.above").alias("above"))
         )
         ask = stored(ask.drop("lows", "above").join(state, F.col("block") == F.col("q_block")).drop("q_block"), "queries")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(W.partitionBy("q_block", "place").orderBy(F.desc("score"), "vec_id"))
     found = selected(met(ask, have), k, kind).withColumn("rank", rank).where(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -13,8 +13,9 @@ only, so a lost executor leaves stray files but no wrong rows.
 Reading. Each archive is read front to back with an incremental decompressor: header
 lines to the empty line, then exactly ``Content-Length`` bytes of block, then the end
 of the record and of its member. Block and payload digests are computed while reading
-and held against the headers. What is broken becomes a row with ``problem`` set; after
-a framing error the rest of that archive is not read.
+and held against the headers. What is broken becomes a row with ``problem`` set, and
+reading goes on with the next gzip member that begins like a record. Headers may have
+any length.
 
 A task holds one record at a time besides a batch of bounded size. Files are opened
 with pyarrow's file systems, so the folder may be local, shared or an object store.
@@ -43,11 +44,14 @@ ARCHIVE_BYTES = 256 << 20
 #: Payload bytes a reading task gathers before it hands rows over.
 BATCH_BYTES = 4 << 20
 CHUNK = 1 << 16
+#: Parts that the pages of one payload are dealt to.
+SALTS = 32
 
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+MEMBER = b"\x1f\x8b\x08"  # how a gzip member begins
 PAGE_URN = "urn:page:"
 
 
@@ -79,10 +83,12 @@ def with_types(pages: DataFrame, revisit_from: int) -> DataFrame:
         .groupBy("sha1")
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .drop("n")
+        .select("sha1", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     first = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).cast("string")
-    return rows.join(several, "sha1", "left").select(F.col("page_id").cast("string"), "url", "html", first.alias("first"))
+    # A payload that most pages have is dealt to many tasks.
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+    return salted.join(several, ["sha1", "salt"], "left").select(F.col("page_id").cast("string"), "url", "html", first.alias("first"))
 
 
 def write_archives(
@@ -142,12 +148,12 @@ class Archive:
 
     def __init__(self, stream):
         self.stream, self.raw, self.plain = stream, b"", b""
-        self.inflate = None
+        self.inflate, self.taken = None, bytearray()  # the bytes of the member so far
 
     def begin(self) -> bool:
         """Starts the next member; False at the end of the archive."""
         self.raw = self.raw or self.stream.read(CHUNK)
-        self.inflate, self.plain = zlib.decompressobj(31), b""
+        self.inflate, self.plain, self.taken = zlib.decompressobj(31), b"", bytearray()
         return bool(self.raw)
 
     def more(self) -> bool:
@@ -158,14 +164,16 @@ class Archive:
         if not part and not self.raw:
             raise ValueError("archive ends within a record")
         self.plain += part
-        self.raw = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+        rest = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+        self.taken += self.raw[: len(self.raw) - len(rest)]
+        self.raw = rest
         return True
 
-    def until(self, mark: bytes, limit: int = 1 << 20) -> bytes:
+    def until(self, mark: bytes) -> bytes:
         seen = 0
         while (at := self.plain.find(mark, max(0, seen - len(mark)))) < 0:
             seen = len(self.plain)
-            if seen > limit or not self.more():
+            if not self.more():
                 raise ValueError("record without the end of its header")
         out, self.plain = self.plain[:at], self.plain[at + len(mark) :]
         return out
@@ -178,6 +186,33 @@ class Archive:
             n -= len(part)
             yield part
 
+    def skip(self) -> None:
+        """Leaves a broken record: to the end of its member, or where that is broken
+        itself, to the next one that begins like a record."""
+        try:
+            while self.more():
+                self.plain = b""
+            return
+        except (ValueError, zlib.error):
+            self.raw = bytes(self.taken[1:]) + self.raw if self.taken else self.raw[1:]
+        while True:
+            at = self.raw.find(MEMBER)
+            if at < 0:
+                added = self.stream.read(CHUNK)
+                self.raw = self.raw[1 - len(MEMBER) :] + added if added else b""
+                if not added:
+                    return
+                continue
+            self.raw = self.raw[at:]
+            while len(self.raw) < CHUNK and (added := self.stream.read(CHUNK)):
+                self.raw += added
+            try:
+                if zlib.decompressobj(31).decompress(self.raw, 7) == VERSION[:7]:
+                    return
+            except zlib.error:
+                pass
+            self.raw = self.raw[1:]
+
     def end(self) -> None:
         while len(self.plain) <= len(END) and self.more():
             pass
@@ -210,9 +245,10 @@ def records(stream):
                 digest.update(part)
                 parts.append(part)
             archive.end()
-        except (ValueError, zlib.error, OSError) as e:
+        except (ValueError, zlib.error) as e:
             yield headers, {}, b"", str(e)
-            return
+            archive.skip()
+            continue
         block = b"".join(parts)
         http, payload = {}, block
         if headers.get("content-type", "").startswith("application/http"):
