@@ -68,6 +68,14 @@ def test_several_files_and_ways(spark, tmp_path, small_splits):
     assert got.where("`b/c` = 'plain'").count() == 1
 
 
+def test_odd_names(spark, tmp_path):
+    """Blanks, percent signs, letters beyond ASCII and pattern characters in a name."""
+    for i, name in enumerate(("a b", "c%20d", "é", "x[1]", "y{2}")):
+        with open(f"{tmp_path}/{name}.csv", "w") as f:
+            f.write(f'n,t\n{i},"two\nlines"\n')
+    assert sorted(r.n for r in read_text_csv(spark, f"{tmp_path}/*.csv").collect()) == list("01234")
+
+
 def test_read_by_several_tasks(spark, tmp_path, small_splits):
     path = made(f"{tmp_path}/a.csv", 4000, 5)
     small_splits(20_000)

@@ -34,11 +34,12 @@ def tag_source(df: DataFrame, tag: str) -> DataFrame:
     return df.withColumn("DataSource", F.lit(tag))
 
 
-def reorder_to_schema(df: DataFrame, fields) -> DataFrame:
-    """Exactly the declared columns, in order; missing ones become NULL."""
+def reorder_to_schema(df: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Exactly the declared columns, in order, and those named in ``keep``; missing
+    declared ones become NULL."""
     present = set(df.columns)
     return df.select(
-        *(F.col(f.name) if f.name in present else F.lit(None).cast(S.working_type(f)).alias(f.name) for f in fields)
+        *(F.col(f.name) if f.name in present else F.lit(None).cast(S.working_type(f)).alias(f.name) for f in fields), *keep
     )
 
 
@@ -106,8 +107,8 @@ def cast_to_schema(df: DataFrame, fields, as_of: Column | datetime.datetime | No
     return df.withColumns(missing).select(*names, *(F.col(f"`{name}`") for name in others))
 
 
-def to_storage(df: DataFrame, fields) -> DataFrame:
+def to_storage(df: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
     """Declared columns with their stored types: dates to the day, Lat/Lon as
     decimal(9,6). A coordinate outside that range becomes NULL."""
-    df = reorder_to_schema(df, fields)
-    return df.select(*(F.col(f.name).try_cast(S.stored_type(f)).alias(f.name) for f in fields))
+    df = reorder_to_schema(df, fields, keep)
+    return df.select(*(F.col(f.name).try_cast(S.stored_type(f)).alias(f.name) for f in fields), *keep)

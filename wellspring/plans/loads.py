@@ -25,11 +25,14 @@ class Load(NamedTuple):
     results: DataFrame
 
 
-def wqp_seed(stations: DataFrame, results: DataFrame, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables()) -> Load:
-    """Extracts of one or many files: twins and balances are judged per file."""
+def wqp_seed(
+    stations: DataFrame, results: DataFrame, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables(), keep: tuple[str, ...] = ()
+) -> Load:
+    """Extracts of one or many files: twins and balances are judged per file. With
+    ``keep=(FILE,)`` the rows still say which."""
     return Load(
-        transform_stations(dedupe.drop_twins(stations, (FILE,)), wqp.TAG, as_of, tables),
-        transform_results(results, wqp.TAG, as_of, tables, scope=(FILE,)),
+        transform_stations(dedupe.drop_twins(stations, (FILE,)), wqp.TAG, as_of, tables, keep=keep),
+        transform_results(results, wqp.TAG, as_of, tables, scope=(FILE,), keep=keep),
     )
 
 
@@ -45,15 +48,23 @@ def wqp_update(
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
     since: datetime.date | None = None,
     known: Callable[[DataFrame], DataFrame] | None = None,
+    again: DataFrame | None = None,
 ) -> Load:
     """Samples not stored yet, from the latest stored day on, and the stations
     they need. ``stations`` and ``results`` are landed extracts. ``stage`` may store
     the new results, which stations, details and balances are all derived from.
 
     ``since`` is the latest stored day, ``known`` gives the stored keys of the samples
-    in some rows; without them ``stored_results`` is read for both."""
-    since = since or watermark(stored_results, wqp.TAG)
-    results = wqp.results_window(results, since, today or datetime.date.today())
+    in some rows; without them ``stored_results`` is read for both.
+
+    ``again`` are the results of files that were imported before and have changed; they
+    are taken from any day on. Balances are then judged per file, and rows still say
+    which they came from."""
+    since, until = since or watermark(stored_results, wqp.TAG), today or datetime.date.today()
+    results = wqp.results_window(results, since, until)
+    scope = ()
+    if again is not None:
+        results, scope = results.unionByName(wqp.results_window(again, datetime.date(1000, 1, 1), until), allowMissingColumns=True), (FILE,)
     if in_box:
         stations = wqp.stations_in_box(stations)
         results = dedupe.keep_known(results, stations, "StationId")
@@ -61,8 +72,8 @@ def wqp_update(
     ids = dedupe.remove_stored_twins(dedupe.new_station_ids(fresh, stored_stations), stored_stations)
     batch = dedupe.drop_twins(dedupe.stations_by_id(stations, ids))
     return Load(
-        transform_stations(batch, wqp.TAG, as_of, tables),
-        transform_results(fresh, wqp.TAG, as_of, tables),
+        transform_stations(batch, wqp.TAG, as_of, tables, keep=scope),
+        transform_results(fresh, wqp.TAG, as_of, tables, scope=scope, keep=scope),
     )
 
 

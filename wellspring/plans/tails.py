@@ -26,16 +26,17 @@ class Tables:
 
 
 def transform_stations(
-    df: DataFrame, tag: str, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables(), need_shape: bool = False
+    df: DataFrame, tag: str, as_of: Column | datetime.datetime | None = None, tables: Tables = Tables(), need_shape: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Cast, tag, shape, normalise and reorder station rows. No shuffle.
+    """Cast, tag, shape, normalise and reorder station rows. No shuffle. Columns named in
+    ``keep`` stay beside the schema's.
 
     With ``need_shape`` stations without a usable point are dropped.
     """
     df = add_shape(tag_source(cast_to_schema(df, S.STATION, as_of), tag))
     if need_shape:
         df = df.where(F.col("Shape").isNotNull())
-    return reorder_to_schema(normalize_station(df, tables.station_types), S.STATION)
+    return reorder_to_schema(normalize_station(df, tables.station_types), S.STATION, keep)
 
 
 def detail_results(
@@ -54,16 +55,18 @@ def transform_results(
     tables: Tables = Tables(),
     scope: tuple[str, ...] = (),
     balance: bool = True,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Result rows of one load plus the balance rows of their samples.
 
     Samples are told apart by the id as the source writes it and by ``scope``
     (for instance the file a row came from). The detail rows pass straight
-    through; only the partial averages of the balance are shuffled.
+    through; only the partial averages of the balance are shuffled. Columns named in
+    ``keep``, of those in ``scope``, stay beside the schema's.
     """
     detail = detail_results(df.withColumn("_sample", F.col("SampleId")), tag, as_of, tables)
-    rows = reorder_to_schema(detail, S.RESULT)
+    rows = reorder_to_schema(detail, S.RESULT, keep)
     if not balance:
         return rows
     derived = charge_balance(detail, (*scope, "_sample", "SampleId"))
-    return rows.unionByName(reorder_to_schema(derived, S.RESULT))
+    return rows.unionByName(reorder_to_schema(derived, S.RESULT, keep))

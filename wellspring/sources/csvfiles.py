@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import csv
 import os
+import re
+import urllib.parse
 from functools import reduce
 
 import numpy as np
@@ -40,6 +42,12 @@ def _lines(spark: SparkSession, paths, **options) -> DataFrame:
     )
 
 
+def readable(name: str) -> str:
+    """The path of a file as a reader takes it, from its name in ``_metadata``, which is
+    a URI; characters that a pattern would take as its own are marked."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", urllib.parse.unquote(name))
+
+
 def layouts(spark: SparkSession, paths, **options) -> list[tuple[tuple[str, ...], bool, list[str]]]:
     """(header, has open quotes, paths) per group of files with the same layout."""
     groups: dict[tuple, list[str]] = {}
@@ -69,7 +77,7 @@ def _ways(spark: SparkSession, paths, **options) -> dict[tuple[tuple[str, ...],
         if row.header:
             names = tuple(name.strip() for name in next(csv.reader([row.header.lstrip("\ufeff")])))
             way = PLAIN if not row.open else CUT if row.last else WHOLE
-            groups.setdefault((names, way), []).append(row.path)
+            groups.setdefault((names, way), []).append(readable(row.path))
     return {key: sorted(files) for key, files in sorted(groups.items())}
 
 

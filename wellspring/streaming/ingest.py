@@ -30,7 +30,7 @@ from ..model.schema import RESULT, WQP_RESULT_COLUMNS
 from ..operators.columns import rename_columns, to_storage
 from ..operators.dedupe import keep_known
 from ..plans.tails import Tables, transform_results
-from ..sources.csvfiles import FILE, read_text_csv
+from ..sources.csvfiles import FILE, read_text_csv, readable
 
 #: Files as Spark's binary reader lists them; only names are read.
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
@@ -50,7 +50,7 @@ def result_stream(spark: SparkSession, landing: str, columns: Iterable[str] = ()
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     names = F.array(*map(F.lit, columns)).cast("array<string>")
-    return reader.load(landing).select("path", names.alias("columns"))
+    return reader.load(landing).select(F.col("_metadata.file_path").alias("path"), names.alias("columns"))
 
 
 def landed_rows(spark: SparkSession, paths: list[str], columns: Iterable[str] = ()) -> DataFrame:
@@ -69,7 +69,7 @@ def _stage_files(base: str) -> Callable[[DataFrame, int], None]:
         named = files.collect()  # a row per file
         if not named:
             return
-        rows = landed_rows(spark, sorted(r.path for r in named), named[0]["columns"])
+        rows = landed_rows(spark, sorted(readable(r.path) for r in named), named[0]["columns"])
         if "SampleId" not in rows.columns:
             rows = rows.withColumn("SampleId", F.lit(None).cast("string"))
         rows.write.mode("overwrite").parquet(f"{base}/rows/{batch}")
