@@ -141,3 +141,58 @@ def test_more_domains_than_are_told_apart(spark, monkeypatch):
     found, names = mixing.mixed(docs, labelled, {f"d{i}": 0.1 for i in range(10)})
     assert names == sorted([*often, mixing.REST])
     assert found.count() == 100 and all(abs(x - (0.7 if d == mixing.REST else 0.1)) < 0.1 for d, x in zip(names, mixing.reached(found, 4), strict=True))
+
+
+def to_convergence(n, p, goal, rounds=400):
+    """Accelerated projected gradient descent in numpy."""
+    total = n.sum()
+    weight = np.linalg.inv((p * n[:, None]).T @ p / total + 1e-9 * np.eye(p.shape[1]))
+    rate, ahead, momentum = np.ones(len(n)), np.ones(len(n)), 1.0
+    for _ in range(rounds):
+        error = (p * (ahead * n)[:, None]).sum(0) / total - goal
+        new = np.maximum(ahead - p @ (weight @ error), 0)
+        moved = np.sqrt((n * (new - ahead) ** 2).sum() / total)
+        if np.abs((p * (new * n)[:, None]).sum(0) / total - goal).max() < mixing.CLOSE or moved < mixing.CLOSE / 10:
+            return new
+        if (n * (ahead - new) * (new - rate)).sum() > 0:
+            momentum = 1.0
+        following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        ahead, rate, momentum = new + (momentum - 1) / following * (new - rate), new, following
+    raise AssertionError("not settled")
+
+
+def test_rates_are_those_of_projected_gradient_descent(spark, monkeypatch):
+    """Without a bound above: targets that need one step, and some that need many; the
+    query's own targets on its own tables."""
+    def no_newton(*_):
+        raise AssertionError("the descent has not settled")
+
+    monkeypatch.setattr(mixing, "fitted", no_newton)
+    docs = spark.createDataFrame(made(), SCHEMA).repartition(4)
+    labelled = docs.where("doc_id % 2 = 0").select("doc_id", "domain")
+    for goal in ({"a": 0.6, "b": 0.3, "c": 0.1}, {"a": 0.2, "b": 0.2, "c": 0.6}):
+        found, names = mixing.mixed(docs, labelled, goal)
+        got = found.collect()
+        n, p, rate = (np.array([r[c] for r in got], float) for c in ("tokens", "posterior", "rate"))
+        want = to_convergence(n, p, np.array([goal.get(d, 0.0) for d in names]))
+        assert np.allclose(rate, want, atol=1e-6)
+    from wellspring.llm.queries import QUERIES
+
+    from .conftest import SF
+
+    got = QUERIES["op7_mixing"](spark, SF).collect()
+    n, rate = (np.array([r[c] for r in got], float) for c in ("tokens", "rate"))
+    p = np.array([[r.p_good, r.p_low, r.p_toxic] for r in got])
+    assert np.allclose(rate, to_convergence(n, p, np.array([0.85, 0.08, 0.07])), atol=1e-6)
+    assert np.abs((p * (rate * n)[:, None]).sum(0) / n.sum() - [0.85, 0.08, 0.07]).max() < 2e-6
+
+
+def test_floors_leave_the_total_as_it_is(spark):
+    docs = spark.createDataFrame(made(), SCHEMA)
+    known = docs.select("doc_id", "domain")
+    found, names = mixing.mixed(docs, known, {"a": 0.2, "b": 0.8}, known=True, keep="a")
+    total = found.agg(F.sum(F.col("rate") * F.col("tokens")) / F.sum("tokens")).first()[0]
+    shares = mixing.reached(found, 3)
+    own = found.agg(*(F.sum(F.get("posterior", F.lit(i)) * F.col("tokens")) / F.sum("tokens") for i in range(3))).first()
+    assert abs(total - 1) < 1e-5 and abs(shares[0] - own[0]) < 1e-5  # a keeps all it has, b gives way
+    assert mixing.above([0.2, 0.8], [0.5, 0.1], 1.0) == [0.5, 0.5]

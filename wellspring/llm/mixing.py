@@ -13,18 +13,24 @@ in documents of other domains, and a small target takes those away too. ``eviden
 sets how many words count; ``known`` gives a labelled document its label (several: their
 shares) instead of a posterior.
 
-Such a rate is a linear function of the document's posterior, cut off at the bound; its
-coefficients, one per domain, are the prices of the targets. Newton steps on the dual find
-them, each a sum over the documents of which only the totals and second moments reach the
-driver, until totals are ``CLOSE`` to the targets. Where no rates reach the targets, the
-proximal term (``FIRM``) leads to the totals with the least squared error, weighted by the
-inverse of the domains' second moments, and the rounds end when those totals stay. A
-first step is the exact solution as long as no rate meets a bound. The totals reached are
-logged, as a warning if they miss a target (also by :func:`reached`).
+The rates are found by accelerated projected gradient descent on the squared error of the
+totals, weighted by the inverse of the domains' second moments, so that the first step is
+the exact solution as long as no rate meets a bound. Each round is one sum over the
+documents; momentum starts anew whenever it points uphill. The descent ends when totals
+are ``CLOSE`` to the targets or the projected gradient is a tenth of that. Rates are stored
+every few rounds, which keeps their expression short.
+
+Targets far from what the documents hold make the descent slow. If ``DESCENT`` rounds do
+not settle it, Newton steps on the dual problem find the rates instead: then such a rate
+is a linear function of the posterior, cut off at the bound, whose coefficients are the
+prices of the targets, and where no rates reach the targets, a proximal term (``FIRM``)
+leads to the totals with the least squared error. The totals reached are logged beside
+the caller's targets, as a warning if they miss one (also by :func:`reached`).
 
 With ``keep``, a document has at least its posterior of that domain as rate, and 1 if it
 belongs there more likely than not (times ``epochs`` below 1). A target that all floors
-together exceed is raised to them.
+together exceed is raised to them, and the others give way in proportion to what they
+have above their floors, so that there are as many tokens as asked for.
 
 An explicit bound ``most`` of the rates takes ``ROUNDS`` rounds of projected gradient
 descent on the same error instead; a miss is logged as well.
@@ -58,6 +64,10 @@ MOST_DOMAINS = 64
 REST = "(rest)"
 #: Rounds of the descent that an explicit upper bound takes.
 ROUNDS = 25
+#: Rounds of accelerated descent before Newton steps take over, and after how many of
+#: them the rates are stored.
+DESCENT = 60
+STORED_EVERY = 6
 CLOSE = 1e-6
 #: Weight of the squared error against the distance from equal rates.
 FIRM = 1e8
@@ -184,6 +194,36 @@ def fitted(rows: DataFrame, goal: list[float], second: list[list[float]], total:
         before, base = error, prices
 
 
+def accelerated(rows: DataFrame, goal: list[float], second: list[list[float]], total: float, epochs: float, low: Column) -> DataFrame | None:
+    """``rows`` with the rates of at least ``low`` that projected gradient descent leads
+    to, or None if it has not settled."""
+    n = len(goal)
+    p = [F.get("posterior", F.lit(i)) for i in range(n)]
+    weight, goal = np.array(inverse(second)), np.array(goal)
+    start = F.lit(float(epochs))
+    state = rows.select("*", low.alias("low"), start.alias("rate"), start.alias("ahead"))
+    ahead = rate = epochs * np.array(rows.agg(*(F.sum(F.col("tokens") * x) for x in p)).first(), float) / total
+    momentum = 1.0
+    for done in range(DESCENT):
+        step = weight @ (ahead - goal)
+        change = reduce(lambda a, b: a + b, (x * float(c) for x, c in zip(p, step, strict=True)))
+        state = state.withColumn("next", F.greatest(F.col("ahead") - change, "low"))
+        moved, turned = F.col("next") - F.col("ahead"), (F.col("ahead") - F.col("next")) * (F.col("next") - F.col("rate"))
+        sums = [*(F.col("next") * x for x in p), moved * moved, turned]
+        *found, gradient, uphill = np.array(state.agg(*(F.sum(F.col("tokens") * x) for x in sums)).first(), float) / total
+        found = np.array(found)
+        if max(abs(found - goal)) < CLOSE or gradient**0.5 < CLOSE / 10:
+            return state.select(*rows.columns, F.col("next").alias("rate"))
+        momentum = 1.0 if uphill > 0 else momentum
+        following = (1 + (1 + 4 * momentum * momentum) ** 0.5) / 2
+        share, momentum = (momentum - 1) / following, following
+        ahead, rate = found + share * (found - rate), found
+        state = state.withColumn("ahead", F.col("next") + float(share) * (F.col("next") - F.col("rate"))).drop("rate").withColumnRenamed("next", "rate")
+        if done % STORED_EVERY == STORED_EVERY - 1:
+            state = stored(state, "rates")
+    return None
+
+
 def descended(rows: DataFrame, goal: list[float], second: list[list[float]], total: float, epochs: float, most: float) -> Column:
     """Rates of at most ``most`` after ``ROUNDS`` rounds of projected gradient descent."""
     p = [F.get("posterior", F.lit(i)) for i in range(len(goal))]
@@ -227,15 +267,26 @@ def rated(rows: DataFrame, targets: list[float], epochs: float, most: float | No
     low = F.lit(0.0)
     if keep is not None:
         low = F.when(p[keep] >= 0.5, 1.0).otherwise(p[keep]) * float(min(1.0, epochs))
-        least = reached(rows.withColumn("rate", low), n)
-        goal = [max(g, x) for g, x in zip(goal, least, strict=True)]
-        goal[keep] = epochs - sum(g for i, g in enumerate(goal) if i != keep)
-    rate = fitted(rows, goal, second, total, epochs, low) if most is None else descended(rows, goal, second, total, epochs, most)
-    rows = rows.withColumn("rate", rate)
-    shares = reached(rows, n)
-    miss = max(abs(x - g) for x, g in zip(shares, goal, strict=True))
-    log.log(logging.WARNING if miss >= CLOSE else logging.INFO, "mixing: totals %s for %s, off by up to %.3g", shares, goal, miss)
-    return rows
+        found = rows.agg(*(F.sum(low * F.col("tokens") * x) for x in p)).first()
+        goal = above(goal, [x / total for x in found], epochs)
+    found = accelerated(rows, goal, second, total, epochs, low) if most is None else None
+    if found is None:
+        rate = fitted(rows, goal, second, total, epochs, low) if most is None else descended(rows, goal, second, total, epochs, most)
+        found = rows.withColumn("rate", rate)
+    asked, shares = [t / sum(targets) for t in targets], reached(found, n)
+    miss = max(abs(x - t) for x, t in zip(shares, asked, strict=True))
+    log.log(logging.WARNING if miss >= 2 * CLOSE else logging.INFO, "mixing: totals %s for targets %s, off by up to %.3g", shares, asked, miss)
+    return found
+
+
+def above(goal: list[float], least: list[float], epochs: float) -> list[float]:
+    """``goal`` raised to ``least`` where it is lower; the others give way in proportion
+    to what they have above theirs, so that the sum stays ``epochs``."""
+    raised = [max(g, x) for g, x in zip(goal, least, strict=True)]
+    spare = [g - x for g, x in zip(raised, least, strict=True)]
+    excess = sum(raised) - epochs
+    part = min(1.0, excess / sum(spare)) if sum(spare) > 0 and excess > 0 else 0.0
+    return [g - part * s for g, s in zip(raised, spare, strict=True)]
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], epochs: float = 1.0, most: float | None = None,
