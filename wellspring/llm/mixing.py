@@ -66,7 +66,7 @@ REST = "(rest)"
 ROUNDS = 25
 #: Rounds of accelerated descent before Newton steps take over, and after how many of
 #: them the rates are stored.
-DESCENT = 60
+DESCENT = 40
 STORED_EVERY = 6
 CLOSE = 1e-6
 #: Weight of the squared error against the distance from equal rates.
@@ -154,7 +154,7 @@ def fitted(rows: DataFrame, goal: list[float], second: list[list[float]], total:
     second = np.array(second)
 
     def free(prices):
-        return F.lit(float(epochs)) - reduce(lambda a, b: a + b, (x * float(c) for x, c in zip(p, prices, strict=True)))
+        return F.lit(float(epochs)) - dot(F.col("posterior"), prices)
 
     def look(prices, base):
         """(value, gradient and curvature of the dual less its proximal term, error)."""
@@ -194,6 +194,13 @@ def fitted(rows: DataFrame, goal: list[float], second: list[list[float]], total:
         before, base = error, prices
 
 
+def dot(values: Column, numbers) -> Column:
+    """The sum of products of an array and given numbers. These are an argument of the
+    generated code and no part of it, so it is compiled once for all rounds."""
+    products = F.zip_with(values, F.lit([float(x) for x in numbers]), lambda a, b: a * b)
+    return F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
+
+
 def accelerated(rows: DataFrame, goal: list[float], second: list[list[float]], total: float, epochs: float, low: Column) -> DataFrame | None:
     """``rows`` with the rates of at least ``low`` that projected gradient descent leads
     to, or None if it has not settled."""
@@ -206,8 +213,7 @@ def accelerated(rows: DataFrame, goal: list[float], second: list[list[float]], t
     momentum = 1.0
     for done in range(DESCENT):
         step = weight @ (ahead - goal)
-        change = reduce(lambda a, b: a + b, (x * float(c) for x, c in zip(p, step, strict=True)))
-        state = state.withColumn("next", F.greatest(F.col("ahead") - change, "low"))
+        state = state.withColumn("next", F.greatest(F.col("ahead") - dot(F.col("posterior"), step), "low"))
         moved, turned = F.col("next") - F.col("ahead"), (F.col("ahead") - F.col("next")) * (F.col("next") - F.col("rate"))
         sums = [*(F.col("next") * x for x in p), moved * moved, turned]
         *found, gradient, uphill = np.array(state.agg(*(F.sum(F.col("tokens") * x) for x in sums)).first(), float) / total
@@ -218,7 +224,7 @@ def accelerated(rows: DataFrame, goal: list[float], second: list[list[float]], t
         following = (1 + (1 + 4 * momentum * momentum) ** 0.5) / 2
         share, momentum = (momentum - 1) / following, following
         ahead, rate = found + share * (found - rate), found
-        state = state.withColumn("ahead", F.col("next") + float(share) * (F.col("next") - F.col("rate"))).drop("rate").withColumnRenamed("next", "rate")
+        state = state.withColumn("ahead", F.col("next") + dot(F.array(F.col("next") - F.col("rate")), [share])).drop("rate").withColumnRenamed("next", "rate")
         if done % STORED_EVERY == STORED_EVERY - 1:
             state = stored(state, "rates")
     return None

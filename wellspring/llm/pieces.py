@@ -115,8 +115,8 @@ def slot(keys: np.ndarray, size: int) -> np.ndarray:
 
 
 def hashed(keys: np.ndarray, values: np.ndarray):
-    """(keys, values): an open hash table at most an eighth full."""
-    size = 8 << int(len(keys)).bit_length()
+    """(keys, values): an open hash table at most a quarter full."""
+    size = 4 << int(len(keys)).bit_length()
     table, held = np.full(size + len(keys), -1, np.int64), np.zeros(size + len(keys), np.int32)
     at, rest = slot(keys, size), np.arange(len(keys))
     while len(rest):
