@@ -48,8 +48,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder that driver and executors share: below ``spark.checkpoint.dir``,
-    or below the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    or below the warehouse where that is unset. On a cluster the latter must not be a
+    machine's own folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
