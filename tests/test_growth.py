@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks import views
 from wellspring.functions import casting
 from wellspring.model import schema as S
 from wellspring.operators import columns
@@ -17,3 +18,11 @@ def test_text_without_a_whole_number_is_not_cast(spark):
     got = df.select(casting.to_integer(F.col("IdNum"), "bigint").alias("n"), F.col("IdNum").try_cast("bigint").alias("cast")).collect()
     assert [r.n for r in got] == [r["cast"] for r in got]
     assert "RLIKE" in optimized(columns.cast_to_schema(df, S.RESULT).select("IdNum"))
+
+
+def test_views_run_compiled(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    session.range(3).select(F.col("id").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
+    assert views.view(session, str(tmp_path), "SELECT * FROM {nation}").count() == 3
+    assert int(session.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
