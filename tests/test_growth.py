@@ -1,11 +1,14 @@
 """Work that grows with the rows is done once per row, compiled and in parallel."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from checks import views
 from wellspring.functions import casting
 from wellspring.model import schema as S
-from wellspring.operators import columns
+from wellspring.operators import columns, dedupe
+from wellspring.sources import wqp
 
 
 def optimized(df) -> str:
@@ -26,3 +29,21 @@ def test_views_run_compiled(spark, tmp_path):
     session.range(3).select(F.col("id").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
     assert views.view(session, str(tmp_path), "SELECT * FROM {nation}").count() == 3
     assert int(session.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+
+
+def test_new_ids_are_not_filtered_once_more_below(spark, tmp_path):
+    for name, ids in (("new", ["A_WQX-1", "A-1", "A-2", "B_WQX-3"]), ("old", ["B-3", "C-1"])):
+        spark.createDataFrame([(i,) for i in ids], "StationId string").write.parquet(f"{tmp_path}/{name}")
+    new, old = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("new", "old"))
+    kept = dedupe.remove_stored_twins(dedupe.new_station_ids(new, old), old)
+    assert sorted(r.StationId for r in kept.collect()) == ["A-1", "A_WQX-1"]
+    assert not [line for line in optimized(kept).split("\n") if "Filter" in line and "Contains(" in line]
+
+
+def test_a_window_computes_its_day_once(spark):
+    rows = spark.range(20).select(F.concat(F.lit("2011-01-"), F.lpad((F.col("id") + 1).cast("string"), 2, "0")).alias("SampleDate"))
+    day = datetime.date(2011, 1, 3)
+    window = wqp.results_window(rows, day, day)
+    assert [r.SampleDate for r in window.collect()] == ["2011-01-03"]
+    conditions = [line for line in optimized(window).split("\n") if "Filter" in line]
+    assert sum(line.count("2011-01-,") for line in conditions) == 1
