@@ -1,10 +1,12 @@
 """Work that grows with the rows is done once per row, compiled and in parallel."""
 
 import datetime
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from checks import views
+from checks import queries, views
 from wellspring.functions import casting
 from wellspring.model import schema as S
 from wellspring.operators import columns, dedupe
@@ -47,3 +49,20 @@ def test_a_window_computes_its_day_once(spark):
     assert [r.SampleDate for r in window.collect()] == ["2011-01-03"]
     conditions = [line for line in optimized(window).split("\n") if "Filter" in line]
     assert sum(line.count("2011-01-,") for line in conditions) == 1
+
+
+@pytest.mark.parametrize("by", [None, "source_file"])
+def test_an_extract_is_landed_by_several_tasks(spark, tmp_path, by):
+    rows = spark.range(0, 400, 1, 4).select(
+        F.concat(F.lit("S-"), F.col("id") % 40).alias("SampleId"), F.concat(F.lit("file-"), F.col("id") % 2).alias("source_file")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        queries._land(rows if by else rows.drop("source_file"), S.WQP_RESULT_COLUMNS, f"{tmp_path}/out", *((by, F.col("SampleId")) if by else ()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([f for f in os.listdir(f"{tmp_path}/out") if f.endswith(".csv")]) >= 4
+    found = spark.read.csv(f"{tmp_path}/out", header=True).select("ActivityIdentifier", F.col("_metadata.file_path").alias("file"))
+    assert found.count() == 400
+    if by:
+        assert found.groupBy("ActivityIdentifier").agg(F.countDistinct("file").alias("n")).where("n > 1").isEmpty()
