@@ -75,3 +75,28 @@ def test_the_window_is_told_once(spark):
     for one, other in zip(load, plain, strict=True):
         assert one.count() > 0
         assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_files_are_scanned_once_before_they_are_read(spark, tmp_path, small_splits, monkeypatch):  # noqa: F811
+    """Unless a line feed does not end every line, or files of other ways lie beside."""
+    scans = []
+    real = csvfiles._told
+    monkeypatch.setattr(csvfiles, "_told", lambda lines: scans.append(1) or real(lines))
+    small_splits(50)
+
+    def rows(name, text):
+        scans.clear()
+        with open(f"{tmp_path}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+        found = sorted(tuple(r) for r in read_text_csv(spark, f"{tmp_path}/{name}.csv").collect())
+        return found, len(scans)
+
+    lines = [(str(i), f"two\nlines {i}") for i in range(30)]
+    text = "n,t\n" + "".join(f'{n},"{t}"\n' for n, t in lines)
+    assert rows("feeds", text) == (sorted(lines), 1)
+    assert rows("no_last_feed", text[:-1]) == (sorted(lines), 1)
+    assert rows("both", text.replace("\n", "\r\n")) == (sorted(lines), 1)
+    lone = [(n, t.replace(" ", "\r")) for n, t in lines]
+    assert rows("lone", "n,t\n" + "".join(f'{n},"{t}"\n' for n, t in lone)) == (sorted(lone), 3)
+    monkeypatch.setattr(csvfiles, "_LONGEST", {"mapreduce.input.linerecordreader.line.maxlength": 9})
+    assert rows("long", text) == (sorted(lines), 3)
